@@ -41,32 +41,46 @@ def random_rows(seed: int) -> dict[str, list[tuple]]:
     cpn = [(mid(rnd.choice(members)), when(), rnd.choice(stores), rnd.choice(["Q240065", "Q240065", "X"]),
             rnd.choice(["redeemed", "redeemed", "void"])) for _ in range(12)]
     rev = []
-    for _ in range(40):
-        si = rnd.randint(0, 3)
-        status = rnd.choice([V, V, V, V, X, R, None])
+    for _ in range(90):
+        si = rnd.choice([0, 0, 1, 1, 2, 3])
+        status = rnd.choice([V] * 8 + [X, R, None])
         rev.append((
-            rnd.choice(["C1", "C2", "C3", "C9"]), None, rnd.choice(["A1", "A2"]), stores[si],
+            rnd.choice(["C1", "C1", "C2", "C3", "C9"]), None, rnd.choice(["A1", "A2"]), stores[si],
             rnd.choice([si + 1, si + 1, 9]), rnd.choice(["E1", "E2", "E2", None]) if rnd.random() < 0.1
             else rnd.choice(["E1", "E2"]),
             mid(rnd.choice(members)) if rnd.random() < 0.95 else None,
             status, rnd.choice([1, 1, 2]), when() if rnd.random() < 0.95 else None,
         ))
     rev = [(r[0], f"Camp {r[0]}" if rnd.random() < 0.9 else "Alt", *r[2:]) for r in rev]
-    orders = []
-    for _ in range(60):
+
+    def order_row(member, date, store):
         amt = Decimal(rnd.randint(-200, 900)) / 4
-        orders.append((
-            mid(rnd.choice(members)) if rnd.random() < 0.95 else None,
-            (base + dt.timedelta(days=rnd.randint(0, 110))).date(),
-            rnd.choice(stores),
+        return (
+            member, date, store,
             rnd.choice([f"O{rnd.randint(1, 30)}", None]) if rnd.random() < 0.1 else f"O{rnd.randint(1, 30)}",
-            rnd.choice([True, True, True, False, None]),
-            rnd.choice([1, 1, 1, 0]),
-            rnd.choice(["LCS", "LCS", "LBR", None]),
+            rnd.choice([True] * 6 + [False, None]),
+            rnd.choice([1] * 8 + [0]),
+            rnd.choice(["LCS"] * 6 + ["LBR", None]),
             rnd.choice([FIRST, REPEAT, REPEAT, None]),
             rnd.choice([1, 1, 2, -1, 0]),
             None if rnd.random() < 0.05 else amt.quantize(Decimal("0.01")),
-        ))
+        )
+
+    orders = []
+    for _ in range(25):  # background purchases
+        orders.append(order_row(mid(rnd.choice(members)) if rnd.random() < 0.95 else None,
+                                (base + dt.timedelta(days=rnd.randint(0, 110))).date(), rnd.choice(stores)))
+    for r in rev:  # purchases around the visits: window edges and beyond
+        if r[6] is None or r[9] is None or rnd.random() < 0.3:
+            continue
+        member = r[6].lstrip("0") or r[6]
+        for off in rnd.sample([-1, 0, 0, 1, 3, 7, 8, 20, 29, 30, 31, 45], rnd.randint(1, 3)):
+            store = r[3] if rnd.random() < 0.85 else rnd.choice(stores)
+            orders.append(order_row(mid(member), r[9].date() + dt.timedelta(days=off), store))
+        if rnd.random() < 0.3:  # joined at this store on the visit day: a new member
+            mbr.append((mid(member), r[9] - dt.timedelta(hours=rnd.choice([1, 30])), r[3]))
+        if rnd.random() < 0.3:
+            cpn.append((mid(member), r[9] + dt.timedelta(hours=2), r[3], "Q240065", "redeemed"))
     return {"phy_store": phy, "app_store": app, "campaign_code": camps, "member_detail": mbr,
             "coupon_benefit": cpn, "campaign_reservation": rev, "member_order_detail": orders}
 

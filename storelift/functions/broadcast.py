@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows.
+def bounded_broadcasts(frames: list[DataFrame], max_rows: int) -> list[DataFrame]:
+    """Mark each frame for broadcast if it has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows (the limit stops the scan
-    early), so it is cheap however large the table turns out to be.  Above
-    the bound the frame is returned unchanged and the planner picks a shuffle
-    join, or AQE a broadcast from the real shuffle size.
+    One small job checks all frames: each is cut at ``max_rows + 1`` rows
+    (the limit stops its scan early) and only the per-frame counts reach the
+    driver, so the check is cheap however large a table turns out to be.
+    Frames above the bound are returned unchanged and the planner picks a
+    shuffle join for them (or AQE a broadcast, from the real shuffle size).
+    ``max_rows <= 0`` skips the check and leaves every choice to Spark.
     """
-    if max_rows <= 0:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if max_rows <= 0 or not frames:
+        return list(frames)
+    probes = [df.limit(max_rows + 1).select(F.lit(i).alias("_frame")) for i, df in enumerate(frames)]
+    counts = {r["_frame"]: r["n"] for r in
+              reduce(DataFrame.unionAll, probes).groupBy("_frame").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [F.broadcast(df) if counts.get(i, 0) <= max_rows else df for i, df in enumerate(frames)]
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """``bounded_broadcasts`` for one frame."""
+    return bounded_broadcasts([df], max_rows)[0]

@@ -75,8 +75,7 @@ def assemble_main(base0: DataFrame, reservations: DataFrame, window_base: DataFr
     out = with_reservations(kpi_ratios(base0, 0), reservations)
     join_keys = ["store_id", "campaign_code", "event_id", "date_id"]
     for w in windows:
-        cols = [c for c in conversion_metric_columns(w)]
-        right = window_base.select(*join_keys, *cols)
+        right = window_base.select(*join_keys, *conversion_metric_columns(w))
         out = out.join(right, join_keys, "left")
         out = kpi_ratios(out, w)
     out = out.withColumns({

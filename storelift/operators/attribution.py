@@ -22,7 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import day_diff, flag
+from ..functions.expr import day_diff
+from ..functions.sqlexpr import cols
 from ..params import Params
 
 VISIT_KEYS = ("member_key", "store_id", "event_dt")
@@ -81,33 +82,28 @@ def visit_window_stats(visits: DataFrame, daily: DataFrame, params: Params = Par
     pairs = window_join(keys, right, ["member_key", "store_id"], "event_dt", "order_day",
                         params.max_window, params.bucket_days)
 
-    inner_aggs = []
+    inner, outer = {}, {}
     for w in windows:
-        inw = F.col("dd") <= w
-        eff = inw & F.col("has_eff_order")
-        inner_aggs += [
-            F.sum(F.when(inw, F.col("order_rrp_amt"))).alias(f"amt_{w}"),
-            F.sum(F.when(eff, F.col("trans_cnt"))).alias(f"ord_{w}"),
-            F.max(F.when(eff, F.col("initial_purchase"))).alias(f"hi_{w}"),
-            F.min(F.when(eff, F.col("initial_purchase"))).alias(f"lo_{w}"),
-        ]
-    # Step 1, per member text variant: the distinct first-order flags seen
-    # are {hi, lo}, so their number is 0, 1 or 2 without a DISTINCT.
-    per_variant = pairs.groupBy("member_key", "store_id", "_bucket", "event_dt", "crm_member_id").agg(*inner_aggs)
-    outer_aggs = []
-    for w in windows:
-        n_var = (F.when(F.col(f"hi_{w}").isNull(), F.lit(0))
-                 .when(F.col(f"hi_{w}") == F.col(f"lo_{w}"), F.lit(1)).otherwise(F.lit(2)))
-        outer_aggs += [
-            F.sum(n_var).alias(f"n_{w}"),
-            F.sum(f"amt_{w}").alias(f"amt_{w}"),
-            F.sum(f"ord_{w}").alias(f"ord_{w}"),
-            F.max(f"hi_{w}").alias(f"hi_{w}"),
-            F.min(f"lo_{w}").alias(f"lo_{w}"),
-        ]
-    # Step 2, per visit key; both steps group by a superset of the join's
-    # partitioning keys, so neither shuffles.
-    return per_variant.groupBy("member_key", "store_id", "_bucket", "event_dt").agg(*outer_aggs).drop("_bucket")
+        inw, eff = f"dd <= {w}", f"dd <= {w} AND has_eff_order"
+        inner.update({
+            f"amt_{w}": f"sum(CASE WHEN {inw} THEN order_rrp_amt END)",
+            f"ord_{w}": f"sum(CASE WHEN {eff} THEN trans_cnt END)",
+            f"hi_{w}": f"max(CASE WHEN {eff} THEN initial_purchase END)",
+            f"lo_{w}": f"min(CASE WHEN {eff} THEN initial_purchase END)",
+        })
+        # The distinct first-order flags a member text variant has in the
+        # window are {hi, lo}: their number is 0, 1 or 2, no DISTINCT needed.
+        outer.update({
+            f"n_{w}": f"sum(CASE WHEN hi_{w} IS NULL THEN 0 WHEN hi_{w} = lo_{w} THEN 1 ELSE 2 END)",
+            f"amt_{w}": f"sum(amt_{w})",
+            f"ord_{w}": f"sum(ord_{w})",
+            f"hi_{w}": f"max(hi_{w})",
+            f"lo_{w}": f"min(lo_{w})",
+        })
+    # Step 1 per member text variant, step 2 per visit key; both group by a
+    # superset of the join's partitioning keys, so neither shuffles.
+    per_variant = pairs.groupBy("member_key", "store_id", "_bucket", "event_dt", "crm_member_id").agg(*cols(inner))
+    return per_variant.groupBy("member_key", "store_id", "_bucket", "event_dt").agg(*cols(outer)).drop("_bucket")
 
 
 def with_window_stats(groups: DataFrame, stats: DataFrame) -> DataFrame:
@@ -116,7 +112,7 @@ def with_window_stats(groups: DataFrame, stats: DataFrame) -> DataFrame:
     return groups.join(stats, list(VISIT_KEYS), "left")
 
 
-def conversion_columns(w: int, mult: str | Column, params: Params) -> dict[str, Column]:
+def conversion_columns(w: int, mult: str, params: Params) -> dict[str, Column]:
     """Window-``w`` contribution of one participation group, in the terms of
     the source query's conversion relation summed per group:
 
@@ -128,18 +124,14 @@ def conversion_columns(w: int, mult: str | Column, params: Params) -> dict[str,
     * ``initial_{w}`` / ``repurchase_{w}``: converted with a first-order /
       a repeat-order day.
     """
-    mult = F.col(mult) if isinstance(mult, str) else mult
-    n, amt, ords = F.col(f"n_{w}"), F.col(f"amt_{w}"), F.col(f"ord_{w}")
-    conv = F.coalesce(n, F.lit(0)) > 0
-    if params.parity:
-        amount = amt * n
-        orders = ords * mult
-    else:
-        amount, orders = amt, ords
-    return {
-        f"converted_{w}": flag(conv),
-        f"rrp_amt_{w}": F.when(conv, amount).otherwise(F.lit(0)),
-        f"order_cnt_{w}": F.when(conv, orders).otherwise(F.lit(0)).cast("long"),
-        f"initial_{w}": flag(conv & (F.col(f"hi_{w}") == 1)),
-        f"repurchase_{w}": flag(conv & (F.col(f"lo_{w}") == 0)),
+    conv = f"coalesce(n_{w}, 0) > 0"
+    amount = f"amt_{w} * n_{w}" if params.parity else f"amt_{w}"
+    orders = f"ord_{w} * {mult}" if params.parity else f"ord_{w}"
+    exprs = {
+        f"converted_{w}": f"CASE WHEN {conv} THEN 1 ELSE 0 END",
+        f"rrp_amt_{w}": f"CASE WHEN {conv} THEN {amount} ELSE 0 END",
+        f"order_cnt_{w}": f"CAST(CASE WHEN {conv} THEN {orders} ELSE 0 END AS BIGINT)",
+        f"initial_{w}": f"CASE WHEN {conv} AND hi_{w} = 1 THEN 1 ELSE 0 END",
+        f"repurchase_{w}": f"CASE WHEN {conv} AND lo_{w} = 0 THEN 1 ELSE 0 END",
     }
+    return dict(zip(exprs, cols(exprs)))

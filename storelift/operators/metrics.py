@@ -13,10 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import flag, money, ratio
+from ..functions.sqlexpr import cols, q, sql_flag, sql_ratio, sums
 from ..params import Params
 from .attribution import VISIT_KEYS, conversion_columns
 
@@ -39,7 +39,16 @@ GROUP_KEYS_0 = (
 # Conversion grain of the 7/30-day windows (no coupon flag, no campaign name).
 GROUP_KEYS_W = tuple(k for k in GROUP_KEYS_0 if k not in ("redeemed_coupon", "campaign_name"))
 
-SEGMENTS = (("", None), ("new_", 1), ("existing_", 0))
+SEGMENTS = ("", "new_", "existing_")
+
+PARTICIPANT_COUNTS = (
+    ("ttl_reservation_participants", "f_sched"),
+    ("ttl_walkin_participants", "f_walk"),
+    ("ttl_participants", "f_part"),
+    ("new_participants", "f_new"),
+    ("existing_participants", "f_ex"),
+)
+KNOWN = "member_id IS NOT NULL"
 
 
 def participation_groups(rows: DataFrame, keys: Sequence[str] = GROUP_KEYS_0) -> DataFrame:
@@ -49,28 +58,21 @@ def participation_groups(rows: DataFrame, keys: Sequence[str] = GROUP_KEYS_0) ->
     A NULL join time counts as one value, as in a DISTINCT.
     """
     return rows.groupBy(*keys, "member_key").agg(
-        (F.count_distinct("join_time") + F.max(flag(F.col("join_time").isNull()))).alias("mult")
+        (F.count_distinct("join_time") + F.max(F.col("join_time").isNull().cast("int"))).alias("mult")
     )
 
 
-def _member_flags(new_col: str = "new_member_tag") -> list[Column]:
-    known = F.col("member_id").isNotNull()
-    return [
-        F.max(flag(known & (F.col("source_type") == 1))).alias("f_sched"),
-        F.max(flag(known & (F.col("source_type") == 2))).alias("f_walk"),
-        F.max(flag(known)).alias("f_part"),
-        F.max(flag(known & (F.col(new_col) == 1))).alias("f_new"),
-        F.max(flag(known & (F.col(new_col) == 0))).alias("f_ex"),
-    ]
-
-
-PARTICIPANT_COUNTS = (
-    ("ttl_reservation_participants", "f_sched"),
-    ("ttl_walkin_participants", "f_walk"),
-    ("ttl_participants", "f_part"),
-    ("new_participants", "f_new"),
-    ("existing_participants", "f_ex"),
-)
+def _participant_flags(params: Params, with_coupon: bool) -> dict[str, str]:
+    out = {
+        "f_sched": f"max({sql_flag(f'{KNOWN} AND source_type = {params.source_reserved}')})",
+        "f_walk": f"max({sql_flag(f'{KNOWN} AND source_type = {params.source_walk_in}')})",
+        "f_part": f"max({sql_flag(KNOWN)})",
+        "f_new": f"max({sql_flag(f'{KNOWN} AND new_member_tag = 1')})",
+        "f_ex": f"max({sql_flag(f'{KNOWN} AND new_member_tag = 0')})",
+    }
+    if with_coupon:
+        out["f_red"] = f"max({sql_flag(f'{KNOWN} AND redeemed_coupon = 1')})"
+    return out
 
 
 def participation_metrics(rows: DataFrame, keys: Sequence[str] = BASE_KEYS, with_coupon: bool = False,
@@ -79,88 +81,63 @@ def participation_metrics(rows: DataFrame, keys: Sequence[str] = BASE_KEYS, with
     new, existing (and coupon redeemers).  ``rows`` are participation rows
     with ``event_dt``; duplicates do not matter."""
     src = rows.withColumnRenamed("event_dt", "date_id") if "event_dt" in rows.columns else rows
-    src = src.withColumns({
-        "source_type": F.col("source_type"),
-    })
-    known = F.col("member_id").isNotNull()
-    member_aggs = [
-        F.max(flag(known & (F.col("source_type") == params.source_reserved))).alias("f_sched"),
-        F.max(flag(known & (F.col("source_type") == params.source_walk_in))).alias("f_walk"),
-        F.max(flag(known)).alias("f_part"),
-        F.max(flag(known & (F.col("new_member_tag") == 1))).alias("f_new"),
-        F.max(flag(known & (F.col("new_member_tag") == 0))).alias("f_ex"),
-    ]
+    per_member = src.groupBy(*keys, "member_id").agg(*cols(_participant_flags(params, with_coupon)))
     counts = list(PARTICIPANT_COUNTS)
     if with_coupon:
-        member_aggs.append(F.max(flag(known & (F.col("redeemed_coupon") == 1))).alias("f_red"))
         counts.append(("ttl_redeemed_recruitment_bags", "f_red"))
-    per_member = src.groupBy(*keys, "member_id").agg(*member_aggs)
-    return per_member.groupBy(*keys).agg(*[F.sum(f).alias(name) for name, f in counts])
+    return per_member.groupBy(*keys).agg(*cols({name: f"sum({f})" for name, f in counts}))
 
 
-def _segment_amount(conv: Column, amount: Column, g_seg: Column, g_other: Column) -> Column:
+def _segment_amount(amount: str, g_seg: str, g_other: str) -> str:
     """Sum over a member's conversion rows of ``CASE WHEN converted AND in
     segment THEN amount ELSE 0 END``: ``g_seg`` groups carry the amount,
     ``g_other`` groups add zeros.  NULL only when every term is NULL."""
-    return (
-        F.when(~conv, F.lit(0))
-        .when(amount.isNull(), F.when(g_other > 0, F.lit(0)))
-        .otherwise(amount * g_seg)
-    )
+    return (f"CASE WHEN {amount} IS NULL THEN (CASE WHEN {g_other} > 0 THEN 0 END) "
+            f"ELSE {amount} * {g_seg} END")
 
 
-def _window_member_columns(w: int, params: Params) -> dict[str, Column]:
+def _window_member_columns(w: int, params: Params) -> dict[str, str]:
     """Per (report keys, member) conversion columns of window ``w`` from the
     group counts g_new/g_ex, multiplicities m_new/m_ex, flags and the
     window statistics of the member's visit."""
-    n = F.coalesce(F.col(f"n_{w}"), F.lit(0))
-    conv = n > 0
-    known = F.col("member_id").isNotNull()
-    amt, ords = F.col(f"amt_{w}"), F.col(f"ord_{w}")
-    g_new, g_ex = F.col("g_new"), F.col("g_ex")
-    m_new, m_ex = F.col("m_new"), F.col("m_ex")
+    conv = f"coalesce(n_{w}, 0) > 0"
+    known = f"({conv}) AND {KNOWN}"
+    amt, ords = f"amt_{w}", f"ord_{w}"
     if params.parity:
-        per_group_amt = amt * n
+        per_group = f"({amt} * n_{w})"
         seg_amt = {
-            "": _segment_amount(conv, per_group_amt, g_new + g_ex, F.lit(0)),
-            "new_": _segment_amount(conv, per_group_amt, g_new, g_ex),
-            "existing_": _segment_amount(conv, per_group_amt, g_ex, g_new),
+            "": _segment_amount(per_group, "(g_new + g_ex)", "0"),
+            "new_": _segment_amount(per_group, "g_new", "g_ex"),
+            "existing_": _segment_amount(per_group, "g_ex", "g_new"),
         }
-        seg_ord = {"": ords * (m_new + m_ex), "new_": ords * m_new, "existing_": ords * m_ex}
+        seg_ord = {"": f"{ords} * (m_new + m_ex)", "new_": f"{ords} * m_new", "existing_": f"{ords} * m_ex"}
     else:
-        in_new, in_ex = g_new > 0, g_ex > 0
-        seg_amt = {
-            "": F.when(conv, amt).otherwise(F.lit(0)),
-            "new_": F.when(conv & in_new, amt).otherwise(F.lit(0)),
-            "existing_": F.when(conv & in_ex, amt).otherwise(F.lit(0)),
-        }
-        seg_ord = {"": ords, "new_": F.when(in_new, ords), "existing_": F.when(in_ex, ords)}
+        seg_amt = {"": amt, "new_": f"CASE WHEN g_new > 0 THEN {amt} ELSE 0 END",
+                   "existing_": f"CASE WHEN g_ex > 0 THEN {amt} ELSE 0 END"}
+        seg_ord = {"": ords, "new_": f"CASE WHEN g_new > 0 THEN {ords} END",
+                   "existing_": f"CASE WHEN g_ex > 0 THEN {ords} END"}
     out = {
-        f"converted_member_{w}_days": flag(conv & known),
-        f"converted_new_member_{w}_days": flag(conv & known & (g_new > 0)),
-        f"converted_existing_member_{w}_days": flag(conv & known & (g_ex > 0)),
+        f"converted_member_{w}_days": sql_flag(known),
+        f"converted_new_member_{w}_days": sql_flag(f"{known} AND g_new > 0"),
+        f"converted_existing_member_{w}_days": sql_flag(f"{known} AND g_ex > 0"),
     }
-    for seg, _ in SEGMENTS:
-        out[f"converted_rrp_amt_{seg}{w}_days"] = seg_amt[seg]
-    for seg, _ in SEGMENTS:
+    for seg in SEGMENTS:
+        out[f"converted_rrp_amt_{seg}{w}_days"] = f"CASE WHEN {conv} THEN {seg_amt[seg]} ELSE 0 END"
+    for seg in SEGMENTS:
         out[f"converted_order_cnt_{seg}{w}_days"] = (
-            F.when(conv, F.coalesce(seg_ord[seg], F.lit(0))).otherwise(F.lit(0)).cast("long")
-        )
-    out[f"converted_initial_member_{w}_days"] = flag(conv & known & (F.col(f"hi_{w}") == 1))
-    out[f"converted_repurchase_member_{w}_days"] = flag(conv & known & (F.col(f"lo_{w}") == 0))
+            f"CAST(CASE WHEN {conv} THEN coalesce({seg_ord[seg]}, 0) ELSE 0 END AS BIGINT)")
+    out[f"converted_initial_member_{w}_days"] = sql_flag(f"{known} AND hi_{w} = 1")
+    out[f"converted_repurchase_member_{w}_days"] = sql_flag(f"{known} AND lo_{w} = 0")
     return out
 
 
 def conversion_count_columns(w: int) -> list[str]:
-    return [
-        f"converted_member_{w}_days", f"converted_new_member_{w}_days", f"converted_existing_member_{w}_days",
-    ]
+    return [f"converted_{s}member_{w}_days" for s in SEGMENTS]
 
 
 def conversion_sum_columns(w: int) -> tuple[list[str], list[str]]:
-    amounts = [f"converted_rrp_amt_{seg}{w}_days" for seg, _ in SEGMENTS]
-    orders = [f"converted_order_cnt_{seg}{w}_days" for seg, _ in SEGMENTS]
-    return amounts, orders
+    return ([f"converted_rrp_amt_{s}{w}_days" for s in SEGMENTS],
+            [f"converted_order_cnt_{s}{w}_days" for s in SEGMENTS])
 
 
 def conversion_metric_columns(w: int) -> list[str]:
@@ -169,23 +146,31 @@ def conversion_metric_columns(w: int) -> list[str]:
             + [f"converted_initial_member_{w}_days", f"converted_repurchase_member_{w}_days"])
 
 
-def _stat_aggs(windows: Sequence[int]) -> list[Column]:
+def _stat_aggs(windows: Sequence[int]) -> dict[str, str]:
     # The statistics depend only on the visit key, which every grouping
     # below contains; max() just carries the one value through.
-    return [F.max(f"{s}_{w}").alias(f"{s}_{w}") for w in windows for s in ("n", "amt", "ord", "hi", "lo")]
+    return {f"{s}_{w}": f"max({s}_{w})" for w in windows for s in ("n", "amt", "ord", "hi", "lo")}
+
+
+def _group_counts(mult: str) -> dict[str, str]:
+    return {
+        "g_new": "sum(CASE WHEN new_member_tag = 1 THEN 1 ELSE 0 END)",
+        "g_ex": "sum(CASE WHEN new_member_tag = 0 THEN 1 ELSE 0 END)",
+        "m_new": f"sum(CASE WHEN new_member_tag = 1 THEN {mult} ELSE 0 END)",
+        "m_ex": f"sum(CASE WHEN new_member_tag = 0 THEN {mult} ELSE 0 END)",
+    }
 
 
 def _report_totals(per_member: DataFrame, keys: Sequence[str], windows: Sequence[int],
                    extra: Sequence[tuple[str, str]] = ()) -> DataFrame:
-    aggs = [F.sum(src).alias(name) for name, src in extra]
+    aggs = {name: f"sum({src})" for name, src in extra}
     for w in windows:
         amounts, orders = conversion_sum_columns(w)
-        aggs += [F.sum(c).alias(c) for c in conversion_count_columns(w)]
-        aggs += [money(F.sum(c)).alias(c) for c in amounts]
-        aggs += [F.sum(c).alias(c) for c in orders]
-        aggs += [F.sum(c).alias(c) for c in (f"converted_initial_member_{w}_days",
-                                             f"converted_repurchase_member_{w}_days")]
-    return per_member.groupBy(*keys).agg(*aggs)
+        aggs.update(sums(conversion_count_columns(w)))
+        aggs.update(sums(amounts, "DECIMAL(18,2)"))
+        aggs.update(sums(orders))
+        aggs.update(sums([f"converted_initial_member_{w}_days", f"converted_repurchase_member_{w}_days"]))
+    return per_member.groupBy(*keys).agg(*cols(aggs))
 
 
 def same_day_report(groups: DataFrame, params: Params = Params(), w: int = 0) -> DataFrame:
@@ -194,44 +179,27 @@ def same_day_report(groups: DataFrame, params: Params = Params(), w: int = 0) ->
     key.  ``groups`` are ``participation_groups`` rows joined to the visit
     statistics."""
     g = groups.withColumnRenamed("event_dt", "date_id")
-    known = F.col("member_id").isNotNull()
-    new, ex = F.col("new_member_tag") == 1, F.col("new_member_tag") == 0
-    per_member = g.groupBy(*BASE_KEYS, "member_id", "member_key").agg(
-        F.sum(flag(new)).alias("g_new"),
-        F.sum(flag(ex)).alias("g_ex"),
-        F.sum(F.when(new, F.col("mult")).otherwise(F.lit(0))).alias("m_new"),
-        F.sum(F.when(ex, F.col("mult")).otherwise(F.lit(0))).alias("m_ex"),
-        F.max(flag(known & (F.col("source_type") == params.source_reserved))).alias("f_sched"),
-        F.max(flag(known & (F.col("source_type") == params.source_walk_in))).alias("f_walk"),
-        F.max(flag(known)).alias("f_part"),
-        F.max(flag(known & new)).alias("f_new"),
-        F.max(flag(known & ex)).alias("f_ex"),
-        F.max(flag(known & (F.col("redeemed_coupon") == 1))).alias("f_red"),
-        *_stat_aggs([w]),
-    ).withColumns(_window_member_columns(w, params))
+    aggs = {**_group_counts("mult"), **_participant_flags(params, True), **_stat_aggs([w])}
+    per_member = g.groupBy(*BASE_KEYS, "member_id").agg(*cols(aggs))
+    per_member = per_member.select("*", *cols(_window_member_columns(w, params)))
     counts = list(PARTICIPANT_COUNTS) + [("ttl_redeemed_recruitment_bags", "f_red")]
     return _report_totals(per_member, BASE_KEYS, [w], counts)
 
 
 def window_report(groups: DataFrame, params: Params = Params(), windows: Sequence[int] = (7, 30)) -> DataFrame:
     """The 7/30-day tables (the source's base_7 and base_30, which share their
-    keys and rows) in one aggregation, without ratios other than the
-    value per order."""
+    keys and rows) in one aggregation, without ratios."""
     g = groups.withColumnRenamed("event_dt", "date_id")
     gw = [k if k != "event_dt" else "date_id" for k in GROUP_KEYS_W]
     # Conversion groups of the longer windows: sum the multiplicities of the
     # same-day groups they merge.
-    coarse = g.groupBy(*gw, "member_key").agg(F.sum("mult").alias("mult"), *_stat_aggs(windows))
-    new, ex = F.col("new_member_tag") == 1, F.col("new_member_tag") == 0
-    per_member = coarse.groupBy(*WINDOW_KEYS, "member_id", "member_key").agg(
-        F.sum(flag(new)).alias("g_new"),
-        F.sum(flag(ex)).alias("g_ex"),
-        F.sum(F.when(new, F.col("mult")).otherwise(F.lit(0))).alias("m_new"),
-        F.sum(F.when(ex, F.col("mult")).otherwise(F.lit(0))).alias("m_ex"),
-        *_stat_aggs(windows),
-    )
+    coarse = g.groupBy(*gw, "member_key").agg(*cols({"mult": "sum(mult)", **_stat_aggs(windows)}))
+    per_member = coarse.groupBy(*WINDOW_KEYS, "member_id").agg(
+        *cols({**_group_counts("mult"), **_stat_aggs(windows)}))
+    derived = {}
     for w in windows:
-        per_member = per_member.withColumns(_window_member_columns(w, params))
+        derived.update(_window_member_columns(w, params))
+    per_member = per_member.select("*", *cols(derived))
     return _report_totals(per_member, WINDOW_KEYS, windows)
 
 
@@ -241,27 +209,30 @@ def cr_name(w: int, seg: str) -> str:
     return f"{seg}member_CR_{w}_{suffix}" if seg else f"CR_{w}_{suffix}"
 
 
+def kpi_columns(w: int, participants: dict[str, str] | None = None) -> dict[str, str]:
+    participants = participants or {"": "ttl_participants", "new_": "new_participants",
+                                    "existing_": "existing_participants"}
+    out = {}
+    for seg in SEGMENTS:
+        out[cr_name(w, seg)] = sql_ratio(q(f"converted_{seg}member_{w}_days"), q(participants[seg]))
+    for seg in SEGMENTS:
+        out[f"converted_{seg}member_aspp_{w}_days"] = sql_ratio(
+            q(f"converted_rrp_amt_{seg}{w}_days"), q(f"converted_{seg}member_{w}_days"))
+    for seg in SEGMENTS:
+        out[f"converted_{seg}member_atv_{w}_days"] = sql_ratio(
+            q(f"converted_rrp_amt_{seg}{w}_days"), q(f"converted_order_cnt_{seg}{w}_days"))
+    return out
+
+
 def kpi_ratios(df: DataFrame, w: int, participants: dict[str, str] | None = None) -> DataFrame:
     """Conversion rate, spend per converted member (aspp) and value per
     order (atv) of window ``w`` for all / new / existing members.  Division
     by zero gives NULL."""
-    participants = participants or {"": "ttl_participants", "new_": "new_participants",
-                                    "existing_": "existing_participants"}
-    cols = {}
-    for seg, _ in SEGMENTS:
-        member_seg = seg
-        cols[cr_name(w, seg)] = ratio(f"converted_{member_seg}member_{w}_days", participants[seg])
-    for seg, _ in SEGMENTS:
-        cols[f"converted_{seg}member_aspp_{w}_days"] = ratio(
-            f"converted_rrp_amt_{seg}{w}_days", f"converted_{seg}member_{w}_days")
-    for seg, _ in SEGMENTS:
-        cols[f"converted_{seg}member_atv_{w}_days"] = ratio(
-            f"converted_rrp_amt_{seg}{w}_days", f"converted_order_cnt_{seg}{w}_days")
-    return df.withColumns(cols)
+    return df.select("*", *cols(kpi_columns(w, participants)))
 
 
 __all__ = [
     "BASE_KEYS", "WINDOW_KEYS", "GROUP_KEYS_0", "GROUP_KEYS_W", "VISIT_KEYS", "conversion_columns",
     "participation_groups", "participation_metrics", "same_day_report", "window_report", "kpi_ratios",
-    "conversion_metric_columns", "cr_name",
+    "kpi_columns", "conversion_metric_columns", "cr_name",
 ]

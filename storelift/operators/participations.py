@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.broadcast import bounded_broadcast
+from ..functions.broadcast import bounded_broadcasts
 from ..functions.expr import day_of, flag, member_key
 from ..params import Params
 from ..sources.tables import Sources
@@ -43,24 +43,19 @@ def verified_visits(src: Sources, params: Params, distributor: Column) -> DataFr
     """Verified reservations of listed campaigns at the selected distributor's
     stores, with store and campaign attributes, de-duplicated.
 
-    The campaign lookup and the store dimensions are broadcast when a bounded
-    count proves them small; the LEFT JOINs of the source query followed by
+    The campaign lookup and the store dimensions are broadcast when one
+    bounded count proves them small; the LEFT JOINs of the source query followed by
     ``IS NOT NULL`` / ``LIKE`` filters on their columns are inner joins.
     """
-    cap = params.broadcast_max_rows
-    campaigns = bounded_broadcast(src.campaign_code.select("campaign_code", "campaign_type"), cap)
-    stores = bounded_broadcast(
+    campaigns, stores, app = bounded_broadcasts([
+        src.campaign_code.select("campaign_code", "campaign_type"),
         src.phy_store.filter(distributor)
         .select(F.col("lego_store_code").alias("store_code"), "distributor", "region", "partner"),
-        cap,
-    )
-    app = bounded_broadcast(
         src.app_store.select(
             F.col("store_id").alias("_app_store_id"), F.col("city_name").alias("city"),
             F.col("name").alias("store_name"),
         ),
-        cap,
-    )
+    ], params.broadcast_max_rows)
     rev = src.campaign_reservation.filter(F.col("res_status") == params.verified_status)
     joined = (
         rev.join(campaigns, "campaign_code", "inner")

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expr import member_key, day_of
-from ..functions.broadcast import bounded_broadcast
 from ..operators.attribution import conversion_columns
 from ..operators.metrics import (
     BASE_KEYS, GROUP_KEYS_0, GROUP_KEYS_W, WINDOW_KEYS, conversion_metric_columns, cr_name, kpi_ratios,
@@ -86,7 +85,7 @@ def _attribution(w: int, params: Params) -> Query:
             stats = [F.max(f"{s}_{w}").alias(f"{s}_{w}") for s in ("n", "amt", "ord", "hi", "lo")]
             groups = groups.groupBy(*keys, "member_key").agg(F.sum("mult").alias("mult"), *stats)
         cols = conversion_columns(w, "mult", params)
-        out = groups.select(*keys, F.col("mult").cast("long").alias("mult"), *[c.alias(n) for n, c in cols.items()])
+        out = groups.select(*keys, F.col("mult").cast("long").alias("mult"), *cols.values())
         return out.withColumn(f"rrp_amt_{w}", F.col(f"rrp_amt_{w}").cast("decimal(18,2)"))
     return run
 

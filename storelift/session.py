@@ -21,6 +21,9 @@ _DEFAULTS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Call-site capture for error messages costs a Python stack walk per
+    # Column call; plans of wide reports make thousands of them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

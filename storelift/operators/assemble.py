@@ -60,22 +60,21 @@ def assemble_sibling(base: DataFrame, reservations: DataFrame) -> DataFrame:
     return out.select(*SIBLING_COLUMNS)
 
 
-def assemble_main(base0: DataFrame, reservations: DataFrame, window_base: DataFrame,
-                  params: Params = Params(), windows: tuple[int, ...] = (7, 30)) -> DataFrame:
+def assemble_main(base0: DataFrame, reservations: DataFrame, window_bases: dict[int, DataFrame],
+                  params: Params = Params()) -> DataFrame:
     """base_0 + reservation counts + one left join per longer window on
     (store, campaign, event, day).
 
-    Each longer window is joined separately, as in the source: the window
-    table has finer keys (agent, distributor, region and campaign name are
-    not in it; campaign type, partner, city and store name are but are not
-    joined on), so one report row can meet several window rows, and two
-    joins give the product of both.  The window table is the same
-    DataFrame both times, so its aggregation and shuffle are reused.
+    Each window table has finer keys than the join (campaign type, partner,
+    city and store name are keys but are not joined on), so one report row
+    can meet several window rows, and the two joins give the product of both,
+    as in the source.  Each window table is its own aggregation of the
+    (checkpointed) attributed groups, computed once.
     """
     out = with_reservations(kpi_ratios(base0, 0), reservations)
     join_keys = ["store_id", "campaign_code", "event_id", "date_id"]
-    for w in windows:
-        right = window_base.select(*join_keys, *conversion_metric_columns(w))
+    for w, table in sorted(window_bases.items()):
+        right = table.select(*join_keys, *conversion_metric_columns(w))
         out = out.join(right, join_keys, "left")
         out = kpi_ratios(out, w)
     out = out.withColumns({

@@ -58,6 +58,10 @@ class Params:
     broadcast_max_rows: int = 1_000_000
     # Fixed load time for repeatable runs; None means the current time.
     batch_ts: _dt.datetime | None = None
+    # Materialise the attributed participation groups (reliable checkpoint in
+    # the session's checkpoint folder) before the same-day and 7/30-day
+    # reports branch off them: computed once, and lineage is cut there.
+    checkpoint_groups: bool = True
 
     def __post_init__(self) -> None:
         if not self.windows or min(self.windows) < 0:

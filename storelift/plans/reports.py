@@ -11,6 +11,7 @@ from ..operators.participations import participation_rows
 from ..operators.reservations import count_reservations
 from ..operators.rollups import daily_activity
 from ..params import Params
+from ..session import checkpointed
 from ..sources.tables import Sources
 
 
@@ -28,8 +29,12 @@ def campaign_performance(src: Sources, params: Params = Params()) -> DataFrame:
     if tuple(params.windows) != (0, 7, 30):
         raise ValueError("the 82-column table is defined for windows (0, 7, 30)")
     groups = attributed_groups(src, params)
+    if params.checkpoint_groups:
+        # Both reports read these rows but prune different columns, which
+        # would stop Spark from reusing one computation for both.
+        groups = checkpointed(groups)
     base0 = same_day_report(groups, params, 0)
-    later = window_report(groups, params, (7, 30))
+    later = {w: window_report(groups, params, (w,)) for w in (7, 30)}
     return assemble_main(base0, count_reservations(src.campaign_reservation, params), later, params)
 
 

@@ -60,3 +60,9 @@ def shared_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="storelift-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def checkpointed(df):
+    """Reliable checkpoint of ``df`` in the shared folder (eager)."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -2,8 +2,9 @@
 
 Runs each query end to end (plan construction plus execution, the result
 written to a no-op sink so every row is computed) on local[$BENCH_CPUS]
-against $BENCH_SF_DIR, and prints one JSON line.  Each query runs once to
-warm up and then $BENCH_REPEAT times; the median is reported.
+against $BENCH_SF_DIR, and prints one JSON line.  Each query runs
+$BENCH_WARMUP times to warm up the JVM, then $BENCH_REPEAT times; the median
+is reported.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    warmup = int(os.environ.get("BENCH_WARMUP", "2"))
     from storelift.plans.queries import QUERIES
     from storelift.session import get_session
 
@@ -32,10 +34,10 @@ def main() -> None:
     for name in HEADLINE:
         fn = QUERIES[name]
         runs = []
-        for i in range(repeat + 1):
+        for i in range(warmup + repeat):
             t0 = time.perf_counter()
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:
+            if i >= warmup:
                 runs.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(runs), 3)
     sf = os.path.basename(sf_dir).removeprefix("sf")

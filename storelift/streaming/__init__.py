@@ -1 +1,7 @@
+"""Streaming: not used.
 
+The reports are daily full refreshes whose metrics depend on the whole
+history (30-day conversion windows, distinct member counts), and the source
+has no streaming input or incremental form.  Run the batch plans in
+``storelift.plans`` from the platform's scheduler instead.
+"""

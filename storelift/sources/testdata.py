@@ -15,115 +15,89 @@ from .. import params as P
 from .tables import Sources
 
 # Fixed values of the mapping (FIXTURES.md section 2).
-RESERVATION_EVENT_TYPES = ("signup", "view", "error")
-COUPON_EVENT_TYPE = "click"
-PURCHASE_EVENT_TYPE = "purchase"
 STATUS_RESERVED = "已预约"
 LIFECYCLE_REPEAT = "repurchase"
 OTHER_COUPON_CODE = "Q0"
 LISTED_CAMPAIGNS = (("C0", "LTP"), ("C1", "MBB"))
-STORE_COUNT = 10
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events")
-    return ev.withColumn("k", F.regexp_extract("props", r"([0-9]+)", 1).cast("int"))
-
-
-def _store_code(k: str = "k"):
-    return F.concat(F.lit("S"), (F.col(k) % STORE_COUNT).cast("string"))
-
-
-def _stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sup = read_table(spark, sf_dir, "supplier").filter(F.col("s_suppkey") < STORE_COUNT)
-    nation = read_table(spark, sf_dir, "nation")
-    region = read_table(spark, sf_dir, "region")
-    return (sup.join(nation, sup.s_nationkey == nation.n_nationkey, "left")
-               .join(region, F.col("n_regionkey") == region.r_regionkey, "left")
-               .select("s_suppkey", "s_name", "n_name", "r_name"))
+def _store(k: str) -> str:
+    return f"concat('S', CAST({k} % 10 AS STRING))"
 
 
 def sources(spark: SparkSession, sf_dir: str) -> Sources:
-    ev = _events(spark, sf_dir)
-    k = F.col("k")
-    eid = F.col("event_id")
-
-    reservation = (
-        ev.filter(F.col("event_type").isin(*RESERVATION_EVENT_TYPES))
-        .select(
-            F.concat(F.lit("C"), (F.expr("k div 10") % 3).cast("string")).alias("campaign_code"),
-            F.concat(F.lit("Camp "), (F.expr("k div 10") % 3).cast("string")).alias("campaign_name"),
-            F.concat(F.lit("A"), (eid % 2).cast("string")).alias("agent_id"),
-            _store_code().alias("store_code"),
-            (k % STORE_COUNT).cast("int").alias("store_id"),
-            F.concat(F.lit("E"), F.expr("k div 50").cast("string")).alias("event_id"),
-            F.col("user_id").cast("string").alias("type_value"),
-            F.when(F.col("event_type") == "error", F.lit(P.STATUS_CANCELLED))
-             .when(eid % 5 == 0, F.lit(STATUS_RESERVED))
-             .otherwise(F.lit(P.STATUS_VERIFIED)).alias("res_status"),
-            F.when(F.col("event_type") == "view", F.lit(2)).otherwise(F.lit(1)).alias("source_type"),
-            F.col("ts").alias("verification_time"),
-        )
+    ev = read_table(spark, sf_dir, "events").selectExpr(
+        "event_id", "ts", "user_id", "event_type", "value",
+        "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k",
     )
 
-    stores = _stores(spark, sf_dir)
-    phy_store = stores.select(
-        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("lego_store_code"),
-        F.when(F.col("s_suppkey") % 5 == 0, F.lit("LBR"))
-         .otherwise(F.concat(F.lit("LCS "), F.col("r_name"))).alias("distributor"),
-        F.col("r_name").alias("region"),
-        F.col("s_name").alias("partner"),
+    reservation = ev.where("event_type IN ('signup', 'view', 'error')").selectExpr(
+        "concat('C', CAST((k div 10) % 3 AS STRING)) AS campaign_code",
+        "concat('Camp ', CAST((k div 10) % 3 AS STRING)) AS campaign_name",
+        "concat('A', CAST(event_id % 2 AS STRING)) AS agent_id",
+        f"{_store('k')} AS store_code",
+        "CAST(k % 10 AS INT) AS store_id",
+        "concat('E', CAST(k div 50 AS STRING)) AS event_id",
+        "CAST(user_id AS STRING) AS type_value",
+        f"CASE WHEN event_type = 'error' THEN '{P.STATUS_CANCELLED}' "
+        f"WHEN event_id % 5 = 0 THEN '{STATUS_RESERVED}' ELSE '{P.STATUS_VERIFIED}' END AS res_status",
+        "CASE WHEN event_type = 'view' THEN 2 ELSE 1 END AS source_type",
+        "ts AS verification_time",
     )
-    app_store = stores.select(
-        F.col("s_suppkey").cast("int").alias("store_id"),
-        F.col("n_name").alias("city_name"),
-        F.col("s_name").alias("name"),
+
+    sup = read_table(spark, sf_dir, "supplier").where("s_suppkey < 10")
+    nation = read_table(spark, sf_dir, "nation")
+    region = read_table(spark, sf_dir, "region")
+    stores = (sup.join(nation, sup.s_nationkey == nation.n_nationkey, "left")
+                 .join(region, nation.n_regionkey == region.r_regionkey, "left")
+                 .select("s_suppkey", "s_name", "n_name", "r_name"))
+    phy_store = stores.selectExpr(
+        "concat('S', CAST(s_suppkey AS STRING)) AS lego_store_code",
+        "CASE WHEN s_suppkey % 5 = 0 THEN 'LBR' ELSE concat('LCS ', r_name) END AS distributor",
+        "r_name AS region",
+        "s_name AS partner",
     )
+    app_store = stores.selectExpr("CAST(s_suppkey AS INT) AS store_id", "n_name AS city_name", "s_name AS name")
 
-    member_detail = (
-        ev.groupBy("user_id")
-        .agg(F.min("ts").alias("join_time"), F.min_by("k", "event_id").alias("first_k"))
-        .select(
-            F.col("user_id").cast("string").alias("member_detail_id"),
-            "join_time",
-            _store_code("first_k").alias("eff_reg_store"),
-        )
+    member_detail = ev.groupBy("user_id").agg(
+        F.expr("min(ts) AS join_time"), F.expr("min_by(k, event_id) AS first_k"),
+    ).selectExpr(
+        "CAST(user_id AS STRING) AS member_detail_id", "join_time", f"{_store('first_k')} AS eff_reg_store",
     )
 
     campaign_code = spark.createDataFrame(list(LISTED_CAMPAIGNS), "campaign_code string, campaign_type string")
 
-    coupon_benefit = ev.filter(F.col("event_type") == COUPON_EVENT_TYPE).select(
-        F.col("user_id").cast("string").alias("member_detail_id"),
-        F.col("ts").alias("redeemed_time"),
-        _store_code().alias("redeemed_channel_code"),
-        F.when(eid % 2 == 0, F.lit(P.RECRUITMENT_COUPON_CODE))
-         .otherwise(F.lit(OTHER_COUPON_CODE)).alias("coupon_code"),
-        F.lit(P.COUPON_STATUS_REDEEMED).alias("coupon_status_code"),
+    coupon_benefit = ev.where("event_type = 'click'").selectExpr(
+        "CAST(user_id AS STRING) AS member_detail_id",
+        "ts AS redeemed_time",
+        f"{_store('k')} AS redeemed_channel_code",
+        f"CASE WHEN event_id % 2 = 0 THEN '{P.RECRUITMENT_COUPON_CODE}' ELSE '{OTHER_COUPON_CODE}' END AS coupon_code",
+        f"'{P.COUPON_STATUS_REDEEMED}' AS coupon_status_code",
     )
 
-    purchases = ev.filter(F.col("event_type") == PURCHASE_EVENT_TYPE)
-    first_purchase = purchases.groupBy("user_id").agg(F.min("event_id").alias("first_event_id"))
-    store_dist = phy_store.select(F.col("lego_store_code").alias("_store"), F.col("distributor").alias("distributor_name"))
+    purchases = ev.where("event_type = 'purchase'")
+    first_purchase = purchases.groupBy("user_id").agg(F.expr("min(event_id) AS first_event_id"))
+    store_dist = phy_store.selectExpr("lego_store_code AS _store", "distributor AS distributor_name")
     member_order_detail = (
-        purchases.withColumn("_store", _store_code())
+        purchases.selectExpr("*", f"{_store('k')} AS _store")
         .join(first_purchase, "user_id", "left")
         .join(store_dist, "_store", "left")
-        .select(
-            F.col("user_id").cast("string").alias("crm_member_id"),
-            F.to_date("ts").alias("date_id"),
-            F.col("_store").alias("lego_store_code"),
-            F.expr("event_id div 2").cast("string").alias("original_order_id"),
-            (eid % 7 != 0).alias("if_eff_order_tag"),
-            F.when(eid % 13 == 0, F.lit(0)).otherwise(F.lit(1)).alias("is_rrp_sales_type"),
+        .selectExpr(
+            "CAST(user_id AS STRING) AS crm_member_id",
+            "to_date(ts) AS date_id",
+            "_store AS lego_store_code",
+            "CAST(event_id div 2 AS STRING) AS original_order_id",
+            "event_id % 7 <> 0 AS if_eff_order_tag",
+            "CASE WHEN event_id % 13 = 0 THEN 0 ELSE 1 END AS is_rrp_sales_type",
             "distributor_name",
-            F.when(eid == F.col("first_event_id"), F.lit(P.LIFECYCLE_FIRST_ORDER))
-             .otherwise(F.lit(LIFECYCLE_REPEAT)).alias("initial_vs_repurchase_lifecycle"),
-            F.when(eid % 11 == 0, F.lit(-1)).otherwise(F.lit(1)).alias("sales_qty"),
-            F.col("value").cast("decimal(18,2)").alias("order_rrp_amt"),
+            f"CASE WHEN event_id = first_event_id THEN '{P.LIFECYCLE_FIRST_ORDER}' "
+            f"ELSE '{LIFECYCLE_REPEAT}' END AS initial_vs_repurchase_lifecycle",
+            "CASE WHEN event_id % 11 = 0 THEN -1 ELSE 1 END AS sales_qty",
+            "CAST(value AS DECIMAL(18,2)) AS order_rrp_amt",
         )
     )
 

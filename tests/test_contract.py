@@ -85,3 +85,21 @@ def test_registered_query_matches_oracle(spark, name):
     con = duck_connect(SMOKE)
     sql = entry_mod.oracle_sql()[name]
     assert compare(entry_mod.queries()[name](spark, SMOKE), con, sql) == []
+
+
+def test_role_mapping_counts_match_fixtures(spark):
+    """Row counts that FIXTURES.md section 2 gives for sf0.01."""
+    from pyspark.sql import functions as F
+
+    sf = "/root/testdata/sf0.01"
+    q = entry_mod.queries()
+    part = q["participations_main"](spark, sf)
+    assert part.count() == 1761
+    assert part.select("campaign_code", "agent_id", "store_id", "event_id", "event_dt").distinct().count() == 1106
+    sib = q["participations_sibling"](spark, sf)
+    assert sib.drop("source_type", "member_id", "res_status", "join_time", "new_member_tag").distinct().count() == 302
+    # Converted participation rows per window (each group stands for `mult`
+    # distinct participation rows).
+    for w, expected in ((0, 61), (7, 358), (30, 660)):
+        got = q[f"attribution_{w}d"](spark, sf).agg(F.sum(F.col("mult") * F.col(f"converted_{w}"))).first()[0]
+        assert got == expected, (w, got)

@@ -27,9 +27,11 @@ def member_key(c: str | Column, params: Params) -> Column:
     return c.try_cast("int") if params.on_bad_id == "null" else c.cast("int")
 
 
-def day_of(c: str | Column) -> Column:
-    """``DATE(x)``: the calendar day of a timestamp (or a date)."""
-    return F.to_date(col(c))
+def day_of(c: str | Column, fmt: str | None = None) -> Column:
+    """``DATE(x)``: the calendar day of a timestamp or date, or of text in
+    format ``fmt`` (e.g. ``'yyyyMMdd'`` for packed day ids, which a plain
+    ANSI cast rejects)."""
+    return F.to_date(col(c), fmt) if fmt else F.to_date(col(c))
 
 
 def day_diff(later: str | Column, earlier: str | Column) -> Column:
@@ -42,11 +44,6 @@ def label(a: str | Column, b: str | Column) -> Column:
     return F.concat(col(a), F.lit(" "), col(b))
 
 
-def ratio(num: str | Column, den: str | Column) -> Column:
-    """``num * 1.0 / NULLIF(den, 0)`` as DOUBLE."""
-    return col(num).cast("double") / F.nullif(col(den), F.lit(0))
-
-
 def flag(cond: Column) -> Column:
     """``CASE WHEN cond THEN 1 ELSE 0 END`` (NULL counts as false)."""
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))

@@ -20,16 +20,6 @@ PARTICIPATION_COLUMNS = (
 )
 MAIN_PARTICIPATION_COLUMNS = PARTICIPATION_COLUMNS + ("redeemed_coupon",)
 
-# Reservation-side columns: every other participation column is a function of
-# these (through the dimension joins), so de-duplicating them first keeps the
-# final DISTINCT exact while the member and coupon joins see fewer rows.
-VISIT_COLUMNS = (
-    "campaign_code", "campaign_type", "campaign_name", "agent_id", "distributor", "region",
-    "partner", "city", "store_id", "store_name", "event_id", "event_dt", "source_type",
-    "member_id", "res_status", "member_key",
-)
-
-
 def main_distributor(params: Params) -> Column:
     """Main table: distributors whose name contains the LCS marker."""
     return F.col("distributor").like(params.main_distributor_like)

@@ -60,7 +60,7 @@ def daily_activity(orders: DataFrame, params: Params = Params()) -> DataFrame:
     )
     return per_day.withColumns({
         "member_key": member_key("crm_member_id", params),
-        "order_day": day_of("date_id"),
+        "order_day": day_of("date_id", params.order_date_format),
     })
 
 

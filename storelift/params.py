@@ -49,6 +49,9 @@ class Params:
     windows: tuple[int, ...] = WINDOWS
     parity: bool = True
     on_bad_id: str = "raise"
+    # Format of a text ``date_id`` on the order lines (e.g. "yyyyMMdd");
+    # None when it is a DATE or TIMESTAMP.
+    order_date_format: str | None = None
     # Width in days of the time buckets of the range join; must be >= the
     # largest window.  Rows of the order side within max(windows) days of a
     # bucket start are also sent to the previous bucket.

@@ -103,3 +103,18 @@ def test_role_mapping_counts_match_fixtures(spark):
     for w, expected in ((0, 61), (7, 358), (30, 660)):
         got = q[f"attribution_{w}d"](spark, sf).agg(F.sum(F.col("mult") * F.col(f"converted_{w}"))).first()[0]
         assert got == expected, (w, got)
+
+
+def test_packed_text_order_dates(spark):
+    """A text date_id like '20240110' works with order_date_format."""
+    from pyspark.sql import functions as F
+
+    src = Sources.from_rows(spark, golden_rows())
+    packed = src.member_order_detail.withColumn("date_id", F.date_format("date_id", "yyyyMMdd"))
+    src2 = Sources(**{**{n: getattr(src, n) for n in ("campaign_reservation", "phy_store", "app_store",
+                                                        "member_detail", "campaign_code", "coupon_benefit")},
+                      "member_order_detail": packed})
+    p = Params(batch_ts=P.batch_ts, order_date_format="yyyyMMdd")
+    want = sorted(tuple(r) for r in campaign_performance(src, P).collect())
+    got = sorted(tuple(r) for r in campaign_performance(src2, p).collect())
+    assert got == want

@@ -32,7 +32,7 @@ def random_rows(seed: int) -> dict[str, list[tuple]]:
 
     phy = [("S1", "LCS East", "East", "P1"), ("S2", "LCS West", "West", "P2"), ("S3", "LBR", "North", "P3"),
            ("S4", "LBR", "South", "P4"), ("S2", "LCS West", "West2", "P2b")]
-    app = [(1, "Shanghai", "One"), (2, "Beijing", "Two"), (3, "Wuhan", None)]
+    app = [(1, "Shanghai", "One"), (2, "Beijing", "Two"), (3, "Wuhan", None), (2, None, "Two bis")]
     camps = [("C1", "LTP"), ("C2", "MBB"), ("C3", "LTP"), ("C3", "MBB")]
     mbr = []
     for m in members:
@@ -45,7 +45,7 @@ def random_rows(seed: int) -> dict[str, list[tuple]]:
         si = rnd.choice([0, 0, 1, 1, 2, 3])
         status = rnd.choice([V] * 8 + [X, R, None])
         rev.append((
-            rnd.choice(["C1", "C1", "C2", "C3", "C9"]), None, rnd.choice(["A1", "A2"]), stores[si],
+            rnd.choice(["C1", "C1", "C2", "C3", "C9"]), None, rnd.choice(["A1", "A2", "A2", None]), stores[si],
             rnd.choice([si + 1, si + 1, 9]), rnd.choice(["E1", "E2", "E2", None]) if rnd.random() < 0.1
             else rnd.choice(["E1", "E2"]),
             mid(rnd.choice(members)) if rnd.random() < 0.95 else None,
@@ -85,7 +85,8 @@ def random_rows(seed: int) -> dict[str, list[tuple]]:
             "coupon_benefit": cpn, "campaign_reservation": rev, "member_order_detail": orders}
 
 
-@pytest.mark.parametrize("seed,bucket", [(1, 120), (2, 30), (3, 31), (4, 45), (5, 365)])
+@pytest.mark.parametrize("seed,bucket", [(1, 120), (2, 30), (3, 31), (4, 45), (5, 365), (6, 120), (7, 60),
+                                         (8, 30), (9, 120), (10, 90)])
 def test_one_pass_equals_two_step(spark, seed, bucket):
     src = Sources.from_rows(spark, random_rows(seed))
     con = duck_from_sources(src)

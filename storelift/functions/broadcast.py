@@ -12,8 +12,9 @@ def bounded_broadcasts(frames: list[DataFrame], max_rows: int) -> list[DataFrame
     """Mark each frame for broadcast if it has at most ``max_rows`` rows.
 
     One small job checks all frames: each is cut at ``max_rows + 1`` rows
-    (the limit stops its scan early) and only the per-frame counts reach the
-    driver, so the check is cheap however large a table turns out to be.
+    (every input partition stops after that many rows, and one task keeps the
+    first ``max_rows + 1``) and only the per-frame counts reach the driver, so
+    the check stays cheap however large a table turns out to be.
     Frames above the bound are returned unchanged and the planner picks a
     shuffle join for them (or AQE a broadcast, from the real shuffle size).
     ``max_rows <= 0`` skips the check and leaves every choice to Spark.

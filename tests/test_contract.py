@@ -118,3 +118,22 @@ def test_packed_text_order_dates(spark):
     want = sorted(tuple(r) for r in campaign_performance(src, P).collect())
     got = sorted(tuple(r) for r in campaign_performance(src2, p).collect())
     assert got == want
+
+
+def test_refresh_job_end_to_end(spark, tmp_path):
+    """The job reads inputs from files and fully refreshes both tables."""
+    from storelift import job
+    from storelift.sources.schemas import SCHEMAS
+
+    mem = Sources.from_rows(spark, golden_rows())
+    args = []
+    for role in SCHEMAS:
+        getattr(mem, role).write.mode("overwrite").parquet(str(tmp_path / "in" / role))
+        args += ["--path", f"{role}={tmp_path / 'in' / role}"]
+    args += ["--main-table", "job_main", "--sibling-table", "job_sibling", "--location", str(tmp_path / "out"),
+             "--batch-ts", "2024-02-01T00:00:00"]
+    for _ in range(2):  # first run creates, second overwrites
+        assert job.main(args) == 0
+    assert spark.table("job_main").count() == 2
+    assert spark.table("job_sibling").count() == 1
+    assert tuple(spark.table("job_main").columns) == MAIN_COLUMNS

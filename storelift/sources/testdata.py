@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import params as P
+from ..functions.broadcast import bounded_broadcasts
 from .tables import Sources
 
 # Fixed values of the mapping (FIXTURES.md section 2).
@@ -81,7 +82,11 @@ def sources(spark: SparkSession, sf_dir: str) -> Sources:
 
     purchases = ev.where("event_type = 'purchase'")
     first_purchase = purchases.groupBy("user_id").agg(F.expr("min(event_id) AS first_event_id"))
-    store_dist = phy_store.selectExpr("lego_store_code AS _store", "distributor AS distributor_name")
+    # Broadcast the store lookup (proven small) so the order lines are not
+    # shuffled by store: the roll-up then shuffles on its own full key and a
+    # store with a large share of all purchases is not handled by one task.
+    (store_dist,) = bounded_broadcasts(
+        [phy_store.selectExpr("lego_store_code AS _store", "distributor AS distributor_name")], 10_000)
     member_order_detail = (
         purchases.selectExpr("*", f"{_store('k')} AS _store")
         .join(first_purchase, "user_id", "left")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,20 +9,18 @@ from pyspark.sql import functions as F
 def bounded_broadcasts(frames: list[DataFrame], max_rows: int) -> list[DataFrame]:
     """Mark each frame for broadcast if it has at most ``max_rows`` rows.
 
-    One small job checks all frames: each is cut at ``max_rows + 1`` rows
-    (every input partition stops after that many rows, and one task keeps the
-    first ``max_rows + 1``) and only the per-frame counts reach the driver, so
-    the check stays cheap however large a table turns out to be.
-    Frames above the bound are returned unchanged and the planner picks a
-    shuffle join for them (or AQE a broadcast, from the real shuffle size).
-    ``max_rows <= 0`` skips the check and leaves every choice to Spark.
+    The check takes at most ``max_rows + 1`` one-column rows of each frame
+    (``take`` scans partitions incrementally and stops as soon as it has
+    them), so it is cheap however large a table turns out to be: a small
+    dimension costs one task, a large one stops early.  Frames above the bound
+    are returned unchanged and the planner picks a shuffle join for them (or
+    AQE a broadcast, from the real shuffle size).  ``max_rows <= 0`` skips the
+    check and leaves every choice to Spark.
     """
-    if max_rows <= 0 or not frames:
+    if max_rows <= 0:
         return list(frames)
-    probes = [df.limit(max_rows + 1).select(F.lit(i).alias("_frame")) for i, df in enumerate(frames)]
-    counts = {r["_frame"]: r["n"] for r in
-              reduce(DataFrame.unionAll, probes).groupBy("_frame").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [F.broadcast(df) if counts.get(i, 0) <= max_rows else df for i, df in enumerate(frames)]
+    return [F.broadcast(df) if len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows else df
+            for df in frames]
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:

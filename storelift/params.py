@@ -57,9 +57,8 @@ class Params:
     # bucket start are also sent to the previous bucket.
     bucket_days: int = 120
     # Dimensions with at most this many rows are broadcast (checked with a
-    # bounded count before the hint is given); larger ones are shuffled.
-    # The probe moves at most this many rows per input partition, so keep it
-    # near Spark's own broadcast size (100k short rows is about 10 MB).
+    # take(max + 1) probe before the hint is given); larger ones are shuffled.
+    # Keep it near Spark's own broadcast size (100k short rows is ~10 MB).
     broadcast_max_rows: int = 100_000
     # Fixed load time for repeatable runs; None means the current time.
     batch_ts: _dt.datetime | None = None

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import member_key, day_of
 from ..operators.attribution import conversion_columns
+from ..operators.diagnostics import dimension_key_report
 from ..operators.metrics import (
     BASE_KEYS, GROUP_KEYS_0, GROUP_KEYS_W, WINDOW_KEYS, conversion_metric_columns, cr_name, kpi_ratios,
     participation_metrics, same_day_report, window_report,
@@ -133,6 +134,10 @@ def q_refresh_roundtrip(spark, sf_dir):
     return spark.table(name)
 
 
+def q_dimension_key_check(spark, sf_dir):
+    return dimension_key_report(_src(spark, sf_dir), PARAMS)
+
+
 def q_lineitem_ship_window(spark, sf_dir):
     return LI.ship_windows(testdata.read_table(spark, sf_dir, "orders"),
                            testdata.read_table(spark, sf_dir, "lineitem"), PARAMS)
@@ -161,6 +166,7 @@ QUERIES: dict[str, Query] = {
     "campaign_performance": q_campaign_performance,
     "in_store_activity": q_in_store_activity,
     "refresh_roundtrip": q_refresh_roundtrip,
+    "dimension_key_check": q_dimension_key_check,
     "lineitem_ship_window": q_lineitem_ship_window,
     "lineitem_net_sales": q_lineitem_net_sales,
 }

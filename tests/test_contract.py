@@ -137,3 +137,12 @@ def test_refresh_job_end_to_end(spark, tmp_path):
     assert spark.table("job_main").count() == 2
     assert spark.table("job_sibling").count() == 1
     assert tuple(spark.table("job_main").columns) == MAIN_COLUMNS
+
+
+def test_dimension_key_report(spark):
+    from storelift.operators.diagnostics import dimension_key_report
+
+    got = {r.dimension: (r.rows, r.distinct_keys, r.repeated_keys, r.extra_rows)
+           for r in dimension_key_report(Sources.from_rows(spark, golden_rows())).collect()}
+    assert got == {"phy_store": (3, 3, 0, 0), "app_store": (2, 2, 0, 0),
+                   "member_detail": (4, 3, 1, 1), "campaign_code": (2, 2, 0, 0)}

@@ -24,6 +24,8 @@ _DEFAULTS = {
     # Call-site capture for error messages costs a Python stack walk per
     # Column call; plans of wide reports make thousands of them.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Checkpointed intermediates are written compressed.
+    "spark.checkpoint.compress": "true",
 }
 
 

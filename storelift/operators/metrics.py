@@ -54,12 +54,10 @@ KNOWN = "member_id IS NOT NULL"
 def participation_groups(rows: DataFrame, keys: Sequence[str] = GROUP_KEYS_0) -> DataFrame:
     """Distinct participation groups with ``mult``: how many distinct
     participation rows (differing only in join time) each group stands for.
-
-    A NULL join time counts as one value, as in a DISTINCT.
+    The rows are distinct already, so this is a plain count with map-side
+    partial aggregation.
     """
-    return rows.groupBy(*keys, "member_key").agg(
-        (F.count_distinct("join_time") + F.max(F.col("join_time").isNull().cast("int"))).alias("mult")
-    )
+    return rows.groupBy(*keys, "member_key").agg(F.count(F.lit(1)).alias("mult"))
 
 
 def _participant_flags(params: Params, with_coupon: bool) -> dict[str, str]:

@@ -65,25 +65,52 @@ def verified_visits(src: Sources, params: Params, distributor: Column) -> DataFr
     ).distinct()
 
 
-def member_rows(members: DataFrame, params: Params) -> DataFrame:
-    """Distinct (member, join time, registration store) rows keyed by the
-    integer member id."""
+def member_join_times(members: DataFrame, params: Params) -> DataFrame:
+    """One row per (integer member id, join time) with the set of its
+    registration stores (``_stores``, non-NULL ones) and whether one of them
+    is NULL (``_null_store``).
+
+    This is the source's DISTINCT member sub-select folded per join time:
+    the participation relation keeps one row per (join time, new-member tag),
+    and both tags of a join time follow from the store set, so joining these
+    rows yields participation rows that are already distinct.
+    """
     return members.select(
-        member_key("member_detail_id", params).alias("member_key"),
+        member_key("member_detail_id", params).alias("_mbr_key"),
         "join_time",
         "eff_reg_store",
-    ).distinct()
+    ).groupBy("_mbr_key", "join_time").agg(
+        F.collect_set("eff_reg_store").alias("_stores"),
+        F.max(F.col("eff_reg_store").isNull()).alias("_null_store"),
+    )
 
 
 def new_member_tag(df: DataFrame) -> DataFrame:
-    """1 when the member joined on the event day at the event store, else 0
-    (also when the member is unknown)."""
+    """Row form of the tag: 1 when the member joined on the event day at the
+    event store (``eff_reg_store``), else 0 (also when the member is
+    unknown)."""
     return df.withColumn(
         "new_member_tag",
         flag((day_of("join_time") == F.col("event_dt")) & (F.col("store_id") == F.col("eff_reg_store"))),
     )
 
 
+def new_member_tags(df: DataFrame) -> DataFrame:
+    """Set form of the tag, for rows joined to ``member_join_times``: one
+    output row per tag value the member's rows with this join time produce
+    (1 if joined on the event day at a registration store equal to the event
+    store; 0 if any of its rows is not such a row, or the member is
+    unknown)."""
+    same_day = F.coalesce(day_of("join_time") == F.col("event_dt"), F.lit(False))
+    in_set = F.coalesce(F.array_contains("_stores", F.col("store_id")), F.lit(False))
+    others = (F.coalesce(F.size("_stores"), F.lit(0)) - in_set.cast("int")
+              + F.coalesce(F.col("_null_store"), F.lit(False)).cast("int"))
+    tag1 = same_day & in_set
+    tag0 = ~same_day | (others > 0) | F.col("_mbr_key").isNull()
+    tags = F.filter(F.array(F.when(tag1, F.lit(1)), F.when(tag0, F.lit(0))), lambda t: t.isNotNull())
+    return df.withColumn("new_member_tag", F.explode(tags)).drop("_stores", "_null_store", "_mbr_key")
+
+
 def coupon_keys(coupons: DataFrame, params: Params) -> DataFrame:
     """Distinct (member, redemption day, store) of redeemed recruitment coupons."""
     return (
@@ -123,14 +150,15 @@ def flag_redemption(df: DataFrame, coupons: DataFrame, params: Params = Params()
 
 
 def _with_members(visits: DataFrame, src: Sources, params: Params) -> DataFrame:
-    mbr = member_rows(src.member_detail, params).withColumnRenamed("member_key", "_mbr_key")
-    out = visits.join(mbr, visits.member_key == mbr._mbr_key, "left").drop("_mbr_key")
-    return new_member_tag(out).drop("eff_reg_store")
+    mbr = member_join_times(src.member_detail, params)
+    return new_member_tags(visits.join(mbr, visits.member_key == mbr._mbr_key, "left"))
 
 
 def participation_rows(src: Sources, params: Params = Params(), scope: str = "main") -> DataFrame:
-    """Participation rows plus the integer ``member_key``, possibly repeated
-    (callers that count distinct values need no DISTINCT first)."""
+    """Participation rows plus the integer ``member_key``.  They are distinct
+    by construction: the visits are de-duplicated, each (member, join time)
+    joins once, each tag value appears once, and the coupon keys are
+    distinct on the join keys."""
     if scope == "main":
         visits = verified_visits(src, params, main_distributor(params))
         out = flag_redemption(_with_members(visits, src, params), src.coupon_benefit, params)
@@ -145,8 +173,9 @@ def participation_rows(src: Sources, params: Params = Params(), scope: str = "ma
 
 
 def participations_keyed(src: Sources, params: Params = Params(), scope: str = "main") -> DataFrame:
-    """The DISTINCT participation relation plus the integer ``member_key``."""
-    return participation_rows(src, params, scope).distinct()
+    """The DISTINCT participation relation plus the integer ``member_key``
+    (``participation_rows`` are distinct already)."""
+    return participation_rows(src, params, scope)
 
 
 def participations(src: Sources, params: Params = Params(), scope: str = "main") -> DataFrame:

@@ -78,7 +78,10 @@ def random_rows(seed: int) -> dict[str, list[tuple]]:
             store = r[3] if rnd.random() < 0.85 else rnd.choice(stores)
             orders.append(order_row(mid(member), r[9].date() + dt.timedelta(days=off), store))
         if rnd.random() < 0.3:  # joined at this store on the visit day: a new member
-            mbr.append((mid(member), r[9] - dt.timedelta(hours=rnd.choice([1, 30])), r[3]))
+            jt = r[9] - dt.timedelta(hours=rnd.choice([1, 30]))
+            mbr.append((mid(member), jt, r[3]))
+            if rnd.random() < 0.4:  # same join time, another (or no) store: both tags
+                mbr.append((mid(member), jt, rnd.choice([s for s in stores if s != r[3]] + [None])))
         if rnd.random() < 0.3:
             cpn.append((mid(member), r[9] + dt.timedelta(hours=2), r[3], "Q240065", "redeemed"))
     return {"phy_store": phy, "app_store": app, "campaign_code": camps, "member_detail": mbr,

@@ -6,6 +6,7 @@ import datetime as dt
 
 import pytest
 from pyspark.errors import ArithmeticException, NumberFormatException, SparkRuntimeException
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import __spark_entry__ as entry_mod
@@ -146,3 +147,23 @@ def test_dimension_key_report(spark):
            for r in dimension_key_report(Sources.from_rows(spark, golden_rows())).collect()}
     assert got == {"phy_store": (3, 3, 0, 0), "app_store": (2, 2, 0, 0),
                    "member_detail": (4, 3, 1, 1), "campaign_code": (2, 2, 0, 0)}
+
+
+def test_row_and_set_forms_of_the_member_tag(spark):
+    """The row form tags each member row; the set form gives the distinct
+    tags of each join time, as the DISTINCT of the source keeps them."""
+    from storelift.operators.participations import member_join_times, new_member_tag, new_member_tags
+
+    visits = spark.createDataFrame(
+        [(1, "S1", dt.date(2024, 1, 10)), (2, "S1", dt.date(2024, 1, 10)), (3, "S1", dt.date(2024, 1, 10))],
+        "member_key int, store_id string, event_dt date")
+    members = spark.createDataFrame(
+        [("1", dt.datetime(2024, 1, 10, 9), "S1"), ("1", dt.datetime(2024, 1, 10, 9), "S2"),
+         ("2", dt.datetime(2024, 1, 10, 9), "S1"), ("3", dt.datetime(2024, 1, 9, 9), "S1")],
+        "member_detail_id string, join_time timestamp_ntz, eff_reg_store string")
+    rows = visits.join(members.withColumn("member_key", F.col("member_detail_id").cast("int")), "member_key", "left")
+    row_form = {(r.member_key, r.new_member_tag) for r in new_member_tag(rows).collect()}
+    mj = member_join_times(members, P)
+    set_form = {(r.member_key, r.new_member_tag) for r in
+                new_member_tags(visits.join(mj, visits.member_key == mj._mbr_key, "left")).collect()}
+    assert row_form == set_form == {(1, 1), (1, 0), (2, 1), (3, 0)}

@@ -20,6 +20,7 @@ PARTICIPATION_COLUMNS = (
 )
 MAIN_PARTICIPATION_COLUMNS = PARTICIPATION_COLUMNS + ("redeemed_coupon",)
 
+
 def main_distributor(params: Params) -> Column:
     """Main table: distributors whose name contains the LCS marker."""
     return F.col("distributor").like(params.main_distributor_like)
@@ -33,9 +34,11 @@ def verified_visits(src: Sources, params: Params, distributor: Column) -> DataFr
     """Verified reservations of listed campaigns at the selected distributor's
     stores, with store and campaign attributes, de-duplicated.
 
-    The campaign lookup and the store dimensions are broadcast when one
-    bounded count proves them small; the LEFT JOINs of the source query followed by
-    ``IS NOT NULL`` / ``LIKE`` filters on their columns are inner joins.
+    The campaign lookup and the store dimensions are broadcast when a
+    bounded probe proves them small; the LEFT JOINs of the source query
+    followed by ``IS NOT NULL`` / ``LIKE`` filters on their columns are inner
+    joins.  The de-duplication (map-side partial first) shrinks repeated
+    check-ins before the member and coupon joins.
     """
     campaigns, stores, app = bounded_broadcasts([
         src.campaign_code.select("campaign_code", "campaign_type"),

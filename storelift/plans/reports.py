@@ -30,8 +30,9 @@ def campaign_performance(src: Sources, params: Params = Params()) -> DataFrame:
         raise ValueError("the 82-column table is defined for windows (0, 7, 30)")
     groups = attributed_groups(src, params)
     if params.checkpoint_groups:
-        # Both reports read these rows but prune different columns, which
-        # would stop Spark from reusing one computation for both.
+        # The same-day and both longer-window tables read these rows but
+        # prune different columns, which would stop Spark from reusing one
+        # computation for all three.
         groups = checkpointed(groups)
     base0 = same_day_report(groups, params, 0)
     later = {w: window_report(groups, params, (w,)) for w in (7, 30)}

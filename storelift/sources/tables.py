@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .schemas import SCHEMAS
 
+
 @dataclasses.dataclass(frozen=True)
 class Sources:
     """Reservation fact, four dimensions, coupon fact and order-line fact."""

@@ -66,6 +66,10 @@ class Params:
     # the session's checkpoint folder) before the same-day and 7/30-day
     # reports branch off them: computed once, and lineage is cut there.
     checkpoint_groups: bool = True
+    # Read only order lines that can fall in a window: from the first to the
+    # last verified event day + max(windows).  The bound reaches the scan as
+    # a pushed filter (partition pruning / row-group skipping on date_id).
+    prune_order_days: bool = True
 
     def __post_init__(self) -> None:
         if not self.windows or min(self.windows) < 0:

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.expr import day_of
 
 from ..operators.assemble import assemble_main, assemble_sibling
 from ..operators.attribution import visit_window_stats, with_window_stats
@@ -15,11 +20,34 @@ from ..session import checkpointed
 from ..sources.tables import Sources
 
 
+def attributable_orders(src: Sources, params: Params = Params()) -> DataFrame:
+    """The order lines the attribution can use.
+
+    With ``prune_order_days`` only lines dated from the first verified event
+    day to the last one plus the largest window are read: one small job
+    fetches the two days (two values reach the driver) and the bound becomes
+    a filter on ``date_id`` that Spark pushes into the scan.  Lines outside
+    can match no visit, so the result is unchanged.
+    """
+    orders = src.member_order_detail
+    if not params.prune_order_days:
+        return orders
+    verified = src.campaign_reservation.filter(F.col("res_status") == params.verified_status)
+    lo, hi = verified.agg(F.min(day_of("verification_time")), F.max(day_of("verification_time"))).first()
+    if lo is None:
+        return orders.filter(F.lit(False))
+    hi = hi + dt.timedelta(days=params.max_window)
+    if dict(orders.dtypes).get("date_id") == "date":
+        # Plain column comparison: pushed to the scan.
+        return orders.filter(F.col("date_id").between(F.lit(lo), F.lit(hi)))
+    return orders.filter(day_of("date_id", params.order_date_format).between(F.lit(lo), F.lit(hi)))
+
+
 def attributed_groups(src: Sources, params: Params = Params()) -> DataFrame:
     """Same-day participation groups of the main table with their visit's
     window statistics: the shared input of every conversion metric."""
     groups = participation_groups(participation_rows(src, params, "main"))
-    stats = visit_window_stats(groups, daily_activity(src.member_order_detail, params), params)
+    stats = visit_window_stats(groups, daily_activity(attributable_orders(src, params), params), params)
     return with_window_stats(groups, stats)
 
 

@@ -77,7 +77,8 @@ def test_filters_and_columns_pushed_to_scan(spark, file_sources):
     plan = final_part(executed_plan(attributed_groups(file_sources, P)))
     line = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "member_order_detail]" in ln][0]
     pushed = re.search(r"PushedFilters: \[([^\]]*)\]", line).group(1)
-    for f in ("IsNotNull(crm_member_id)", "EqualTo(is_rrp_sales_type,1)", "Not(EqualTo(distributor_name,LBR))"):
+    for f in ("IsNotNull(crm_member_id)", "EqualTo(is_rrp_sales_type,1)", "Not(EqualTo(distributor_name,LBR))",
+              "GreaterThanOrEqual(date_id,2024-01-10)", "LessThanOrEqual(date_id,2024-02-11)"):
         assert f in pushed, (f, pushed)
     # Only the ten used columns are read.
     schema = re.search(r"ReadSchema: struct<([^>]*)>", line).group(1)
@@ -88,3 +89,20 @@ def test_reports_read_the_checkpoint(file_sources):
     plan = final_part(executed_plan(campaign_performance(file_sources, P)))
     # base_0, base_7 and base_30 each read the checkpointed groups once.
     assert plan.count("Scan ExistingRDD") == 3
+
+
+def test_broadcast_only_below_the_bound(spark):
+    from storelift.functions.broadcast import bounded_broadcasts
+
+    small = spark.range(5).withColumnRenamed("id", "k")
+    large = spark.range(50).withColumnRenamed("id", "k")
+    fact = spark.range(1000).selectExpr("id % 50 AS k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b_small, b_large = bounded_broadcasts([small, large], max_rows=10)
+        plan_small = fact.join(b_small, "k")._jdf.queryExecution().executedPlan().toString()
+        plan_large = fact.join(b_large, "k")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan_small
+    assert "BroadcastHashJoin" not in plan_large

@@ -167,3 +167,16 @@ def test_row_and_set_forms_of_the_member_tag(spark):
     set_form = {(r.member_key, r.new_member_tag) for r in
                 new_member_tags(visits.join(mj, visits.member_key == mj._mbr_key, "left")).collect()}
     assert row_form == set_form == {(1, 1), (1, 0), (2, 1), (3, 0)}
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_declared_test_table_schemas(spark, sf):
+    """The schemas declared for the test tables equal the files' own."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    from storelift.sources.testdata import TABLE_SCHEMAS
+
+    for name, ddl in TABLE_SCHEMAS.items():
+        inferred = spark.read.parquet(f"{sf}/{name}.parquet").schema
+        declared = _parse_datatype_string(ddl)
+        assert [(f.name, f.dataType) for f in inferred.fields] == [(f.name, f.dataType) for f in declared.fields]

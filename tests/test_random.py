@@ -97,3 +97,31 @@ def test_one_pass_equals_two_step(spark, seed, bucket):
     p = Params(batch_ts=dt.datetime(2024, 2, 1), bucket_days=bucket)
     assert compare(campaign_performance(src, p), con, oq["campaign_performance"]) == []
     assert compare(in_store_activity(src, p), con, oq["in_store_activity"]) == []
+
+
+@pytest.mark.parametrize("seed", [21, 22, 23])
+def test_timestamp_order_days(spark, seed):
+    """date_id given as a timestamp with a time of day: the source groups the
+    order roll-ups by the raw value and joins them by day, so one member-day
+    can contribute several roll-up rows."""
+    from pyspark.sql import functions as F
+
+    rows = random_rows(seed)
+    rnd = random.Random(seed)
+    rows["member_order_detail"] = [
+        (r[0], dt.datetime.combine(r[1], dt.time(rnd.choice([0, 9, 18]))), *r[2:]) for r in rows["member_order_detail"]
+    ]
+    base = Sources.from_rows(spark, {k: v for k, v in rows.items() if k != "member_order_detail"})
+    orders = spark.createDataFrame(
+        rows["member_order_detail"],
+        "crm_member_id string, date_id timestamp_ntz, lego_store_code string, original_order_id string, "
+        "if_eff_order_tag boolean, is_rrp_sales_type int, distributor_name string, "
+        "initial_vs_repurchase_lifecycle string, sales_qty int, order_rrp_amt decimal(18,2)")
+    src = Sources(**{**{n: getattr(base, n) for n in ("campaign_reservation", "phy_store", "app_store",
+                                                    "member_detail", "campaign_code", "coupon_benefit")},
+                     "member_order_detail": orders})
+    con = duck_from_sources(src)
+    oq = oracle_sql.oracle_queries(with_roles=False)
+    p = Params(batch_ts=dt.datetime(2024, 2, 1))
+    assert compare(campaign_performance(src, p), con, oq["campaign_performance"]) == []
+    assert orders.select(F.to_date("date_id")).distinct().count() < orders.select("date_id").distinct().count()

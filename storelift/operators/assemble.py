@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import batch_date, label, load_time
 from ..params import Params
-from .metrics import conversion_metric_columns, kpi_ratios
+from ..functions.sqlexpr import cols
+from .metrics import conversion_metric_columns, kpi_columns
 
 DIMENSION_COLUMNS = (
     "campaign_type", "agent_id", "partner", "distributor", "city", "region", "store_id", "store_name",
@@ -71,16 +72,20 @@ def assemble_main(base0: DataFrame, reservations: DataFrame, window_bases: dict[
     as in the source.  Each window table is its own aggregation of the
     (checkpointed) attributed groups, computed once.
     """
-    out = with_reservations(kpi_ratios(base0, 0), reservations)
+    out = with_reservations(base0, reservations)
     join_keys = ["store_id", "campaign_code", "event_id", "date_id"]
     for w, table in sorted(window_bases.items()):
         right = table.select(*join_keys, *conversion_metric_columns(w))
         out = out.join(right, join_keys, "left")
-        out = kpi_ratios(out, w)
-    out = out.withColumns({
+    # One projection: ratios of every window (from the joined counts, so the
+    # 7/30-day rates divide by this row's participants), label, stamps, order.
+    derived = {}
+    for w in (0, *sorted(window_bases)):
+        derived.update(dict(zip(kpi_columns(w), cols(kpi_columns(w)))))
+    derived.update({
         "store_id_store_name": label("store_id", "store_name"),
         "ttl_invitation": F.lit(0),
         "dl_batch_date": batch_date(params),
         "dl_load_time": load_time(params),
     })
-    return out.select(*MAIN_COLUMNS)
+    return out.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in MAIN_COLUMNS])

@@ -37,20 +37,24 @@ def _norm(v):
     return ("s", str(v))
 
 
-def normalize(columns, rows):
+def normalize(columns, rows, exact=False):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    out = [tuple(_norm(r[i]) for i in order) for r in rows]
+    norm = repr if exact else _norm
+    out = [tuple(norm(r[i]) for i in order) for r in rows]
     return [columns[i] for i in order], sorted(out, key=repr)
 
 
-def compare(spark_df, con, sql):
+def compare(spark_df, con, sql, exact=False):
+    """Problems found comparing the Spark rows with the DuckDB rows, order
+    insensitive.  ``exact`` compares Python ``repr`` of every value (types,
+    decimal scales and float bits included) instead of normalised values."""
     s_cols = spark_df.columns
     s_rows = [tuple(r) for r in spark_df.collect()]
     rel = con.sql(sql)
     d_cols = list(rel.columns)
     d_rows = rel.fetchall()
-    sc, sr = normalize(s_cols, s_rows)
-    dc, dr = normalize(d_cols, d_rows)
+    sc, sr = normalize(s_cols, s_rows, exact)
+    dc, dr = normalize(d_cols, d_rows, exact)
     problems = []
     if sc != dc:
         problems.append(f"columns differ: spark-only {sorted(set(sc) - set(dc))}, duck-only {sorted(set(dc) - set(sc))}")

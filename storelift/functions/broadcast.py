@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,12 +17,21 @@ def bounded_broadcasts(frames: list[DataFrame], max_rows: int) -> list[DataFrame
     dimension costs one task, a large one stops early.  Frames above the bound
     are returned unchanged and the planner picks a shuffle join for them (or
     AQE a broadcast, from the real shuffle size).  ``max_rows <= 0`` skips the
-    check and leaves every choice to Spark.
+    check and leaves every choice to Spark.  The probes of several frames are
+    submitted as concurrent jobs.
     """
-    if max_rows <= 0:
+    if max_rows <= 0 or not frames:
         return list(frames)
-    return [F.broadcast(df) if len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows else df
-            for df in frames]
+
+    def rows(df: DataFrame) -> int:
+        return len(df.select(F.lit(1)).take(max_rows + 1))
+
+    if len(frames) == 1:
+        counts = [rows(frames[0])]
+    else:
+        with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+            counts = list(pool.map(rows, frames))
+    return [F.broadcast(df) if n <= max_rows else df for df, n in zip(frames, counts)]
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:

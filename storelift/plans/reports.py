@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,20 +21,25 @@ from ..session import checkpointed
 from ..sources.tables import Sources
 
 
-def attributable_orders(src: Sources, params: Params = Params()) -> DataFrame:
+def event_day_bounds(src: Sources, params: Params = Params()) -> tuple:
+    """First and last verified event day (one small job; two values reach
+    the driver)."""
+    verified = src.campaign_reservation.filter(F.col("res_status") == params.verified_status)
+    return tuple(verified.agg(F.min(day_of("verification_time")), F.max(day_of("verification_time"))).first())
+
+
+def attributable_orders(src: Sources, params: Params = Params(), bounds: tuple | None = None) -> DataFrame:
     """The order lines the attribution can use.
 
     With ``prune_order_days`` only lines dated from the first verified event
-    day to the last one plus the largest window are read: one small job
-    fetches the two days (two values reach the driver) and the bound becomes
+    day to the last one plus the largest window are read: the bound becomes
     a filter on ``date_id`` that Spark pushes into the scan.  Lines outside
     can match no visit, so the result is unchanged.
     """
     orders = src.member_order_detail
     if not params.prune_order_days:
         return orders
-    verified = src.campaign_reservation.filter(F.col("res_status") == params.verified_status)
-    lo, hi = verified.agg(F.min(day_of("verification_time")), F.max(day_of("verification_time"))).first()
+    lo, hi = bounds if bounds is not None else event_day_bounds(src, params)
     if lo is None:
         return orders.filter(F.lit(False))
     hi = hi + dt.timedelta(days=params.max_window)
@@ -46,8 +52,13 @@ def attributable_orders(src: Sources, params: Params = Params()) -> DataFrame:
 def attributed_groups(src: Sources, params: Params = Params()) -> DataFrame:
     """Same-day participation groups of the main table with their visit's
     window statistics: the shared input of every conversion metric."""
-    groups = participation_groups(participation_rows(src, params, "main"))
-    stats = visit_window_stats(groups, daily_activity(attributable_orders(src, params), params), params)
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        # The event-day bound job runs while the participation plan (and its
+        # broadcast probes) is being built.
+        bounds = pool.submit(event_day_bounds, src, params) if params.prune_order_days else None
+        groups = participation_groups(participation_rows(src, params, "main"))
+        orders = attributable_orders(src, params, bounds.result() if bounds else None)
+    stats = visit_window_stats(groups, daily_activity(orders, params), params)
     return with_window_stats(groups, stats)
 
 

@@ -8,6 +8,8 @@ with the tables.  ``oracle_sql.py`` states the same mapping in SQL.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,20 +56,6 @@ def sources(spark: SparkSession, sf_dir: str) -> Sources:
         "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k",
     )
 
-    reservation = ev.where("event_type IN ('signup', 'view', 'error')").selectExpr(
-        "concat('C', CAST((k div 10) % 3 AS STRING)) AS campaign_code",
-        "concat('Camp ', CAST((k div 10) % 3 AS STRING)) AS campaign_name",
-        "concat('A', CAST(event_id % 2 AS STRING)) AS agent_id",
-        f"{_store('k')} AS store_code",
-        "CAST(k % 10 AS INT) AS store_id",
-        "concat('E', CAST(k div 50 AS STRING)) AS event_id",
-        "CAST(user_id AS STRING) AS type_value",
-        f"CASE WHEN event_type = 'error' THEN '{P.STATUS_CANCELLED}' "
-        f"WHEN event_id % 5 = 0 THEN '{STATUS_RESERVED}' ELSE '{P.STATUS_VERIFIED}' END AS res_status",
-        "CASE WHEN event_type = 'view' THEN 2 ELSE 1 END AS source_type",
-        "ts AS verification_time",
-    )
-
     sup = read_table(spark, sf_dir, "supplier").where("s_suppkey < 10")
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
@@ -82,6 +70,28 @@ def sources(spark: SparkSession, sf_dir: str) -> Sources:
     )
     app_store = stores.selectExpr("CAST(s_suppkey AS INT) AS store_id", "n_name AS city_name", "s_name AS name")
 
+    # Broadcast the store lookup of the order lines (proven small by a
+    # bounded probe, started now and awaited below) so the order lines are
+    # not shuffled by store: the roll-up then shuffles on its own full key and
+    # a store with a large share of all purchases is not handled by one task.
+    store_lookup = phy_store.selectExpr("lego_store_code AS _store", "distributor AS distributor_name")
+    pool = ThreadPoolExecutor(max_workers=1)
+    probe = pool.submit(bounded_broadcasts, [store_lookup], 10_000)
+
+    reservation = ev.where("event_type IN ('signup', 'view', 'error')").selectExpr(
+        "concat('C', CAST((k div 10) % 3 AS STRING)) AS campaign_code",
+        "concat('Camp ', CAST((k div 10) % 3 AS STRING)) AS campaign_name",
+        "concat('A', CAST(event_id % 2 AS STRING)) AS agent_id",
+        f"{_store('k')} AS store_code",
+        "CAST(k % 10 AS INT) AS store_id",
+        "concat('E', CAST(k div 50 AS STRING)) AS event_id",
+        "CAST(user_id AS STRING) AS type_value",
+        f"CASE WHEN event_type = 'error' THEN '{P.STATUS_CANCELLED}' "
+        f"WHEN event_id % 5 = 0 THEN '{STATUS_RESERVED}' ELSE '{P.STATUS_VERIFIED}' END AS res_status",
+        "CASE WHEN event_type = 'view' THEN 2 ELSE 1 END AS source_type",
+        "ts AS verification_time",
+    )
+
     member_detail = ev.groupBy("user_id").agg(
         F.expr("min(ts) AS join_time"), F.expr("min_by(k, event_id) AS first_k"),
     ).selectExpr(
@@ -98,13 +108,10 @@ def sources(spark: SparkSession, sf_dir: str) -> Sources:
         f"'{P.COUPON_STATUS_REDEEMED}' AS coupon_status_code",
     )
 
+    (store_dist,) = probe.result()
+    pool.shutdown()
     purchases = ev.where("event_type = 'purchase'")
     first_purchase = purchases.groupBy("user_id").agg(F.expr("min(event_id) AS first_event_id"))
-    # Broadcast the store lookup (proven small) so the order lines are not
-    # shuffled by store: the roll-up then shuffles on its own full key and a
-    # store with a large share of all purchases is not handled by one task.
-    (store_dist,) = bounded_broadcasts(
-        [phy_store.selectExpr("lego_store_code AS _store", "distributor AS distributor_name")], 10_000)
     member_order_detail = (
         purchases.selectExpr("*", f"{_store('k')} AS _store")
         .join(first_purchase, "user_id", "left")

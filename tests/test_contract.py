@@ -180,3 +180,14 @@ def test_declared_test_table_schemas(spark, sf):
         inferred = spark.read.parquet(f"{sf}/{name}.parquet").schema
         declared = _parse_datatype_string(ddl)
         assert [(f.name, f.dataType) for f in inferred.fields] == [(f.name, f.dataType) for f in declared.fields]
+
+
+def test_refresh_inserts_by_position(spark, tmp_path):
+    """An existing target is overwritten by column position, as the source's
+    insert without a column list."""
+    from storelift.sinks.refresh import refresh
+
+    spark.sql(f"CREATE TABLE pos_target (label STRING, n BIGINT) USING parquet LOCATION '{tmp_path / 't'}'")
+    spark.sql("INSERT INTO pos_target VALUES ('old', 1)")
+    refresh(spark.createDataFrame([("x", 5), ("y", 6)], "other_name string, other_count bigint"), "pos_target")
+    assert sorted(tuple(r) for r in spark.table("pos_target").collect()) == [("x", 5), ("y", 6)]

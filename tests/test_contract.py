@@ -191,3 +191,12 @@ def test_refresh_inserts_by_position(spark, tmp_path):
     spark.sql("INSERT INTO pos_target VALUES ('old', 1)")
     refresh(spark.createDataFrame([("x", 5), ("y", 6)], "other_name string, other_count bigint"), "pos_target")
     assert sorted(tuple(r) for r in spark.table("pos_target").collect()) == [("x", 5), ("y", 6)]
+
+
+def test_refresh_job_rejects_incomplete_inputs():
+    from storelift import job
+
+    with pytest.raises(SystemExit):
+        job.main(["--path", "phy_store=/nowhere", "--main-table", "t"])
+    with pytest.raises(SystemExit):
+        job.main(["--path", "not_a_role=/nowhere", "--main-table", "t"])

@@ -192,3 +192,22 @@ def test_against_oracle(spark, which, name):
     con = duck_from_sources(src)
     sql = oracle_sql.oracle_queries(with_roles=False)[name]
     assert compare(fn(src, P), con, sql) == []
+
+
+def test_clean_mode_counts_each_member_once(golden):
+    """parity=False: each member's window totals once per report row (no Q1
+    doubling of amounts, no Q3 multiplication of orders)."""
+    p = Params(batch_ts=dt.datetime(2024, 2, 1), parity=False)
+    rows = {(r.campaign_code, r.date_id.isoformat()): r.asDict() for r in campaign_performance(golden, p).collect()}
+    r = rows[("C1", "2024-01-10")]
+    # Same day: member 1 (150, one order) and member 3 (30, one order).
+    assert _triple(r, "converted_rrp_amt_{}0_days") == (D("180.00"), D("150.00"), D("30.00"))
+    assert _triple(r, "converted_order_cnt_{}0_days") == (2, 1, 1)
+    # 7 days: member 2 nets 100 once (not 200), member 4 adds day 7.
+    assert _triple(r, "converted_rrp_amt_{}7_days") == (D("320.00"), D("150.00"), D("170.00"))
+    assert _triple(r, "converted_order_cnt_{}7_days") == (5, 1, 4)
+    # 30 days: member 3 adds day 20, member 4 day 30 (day 31 excluded).
+    assert _triple(r, "converted_rrp_amt_{}30_days") == (D("410.00"), D("150.00"), D("260.00"))
+    assert _triple(r, "converted_order_cnt_{}30_days") == (7, 1, 6)
+    # Member counts do not depend on the mode.
+    assert _triple(r, "converted_{}member_7_days") == (4, 1, 3)

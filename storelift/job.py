@@ -1,10 +1,12 @@
-"""Daily refresh job: ``spark-submit -m storelift.job`` (or ``python -m``).
+"""Daily refresh job: ``python -m storelift.job`` with PySpark installed, or
+``spark-submit`` of a launcher containing ``from storelift.job import main;
+main()`` with the package shipped by ``--py-files``.
 
 Reads the seven inputs from the catalog (``--table role=name``) or from files
 (``--path role=location``), builds both reports and replaces the contents of
 the target tables, like the source's delete + insert statements.
 
-    spark-submit --py-files storelift.zip -m storelift.job \\
+    python -m storelift.job \\
         --table campaign_reservation=db.reservation ... \\
         --main-table reports.campaign_performance \\
         --sibling-table reports.in_store_activity

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, mixing, sharding
+from . import decontaminate, langid, linededup, mixing, neardup, sharding, tokenfile
 from .common import read_table
 from .oracle import ORACLE_SQL  # noqa: F401
 
@@ -16,6 +16,26 @@ def op1_shard_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokenfile.encode_digest(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.leaked_items(docs, read_table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
 
@@ -27,6 +47,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_shard_histogram": op1_shard_histogram,
+    "op3_token_ids": op3_token_ids,
+    "op5_language_id": op5_language_id,
+    "op6_near_duplicates": op6_near_duplicates,
+    "op9_decontamination": op9_decontamination,
     "op7_line_dedup": op7_line_dedup,
     "op10_mixing": op10_mixing,
 }

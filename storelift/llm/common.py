@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +19,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per Spark application.
+
+    Functions that run in tasks are sent by reference, so workers must be able
+    to import them; this makes it so however the application was started.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_storelift_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="storelift-py-"), "storelift.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(path)
+    sc._storelift_shipped = True
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser, vectorised over uint64."""
     x = x ^ (x >> np.uint64(30))

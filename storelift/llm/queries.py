@@ -5,17 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, linededup, mixing, neardup, sharding, tokenfile
-from .common import read_table
+from . import annforest, decontaminate, langid, linededup, lm, mixing, neardup, sharding, tokenfile
+from .common import read_table as _read_table
+from .common import ship_package
 from .oracle import ORACLE_SQL  # noqa: F401
 
 
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
+    return _read_table(spark, sf_dir, name)
+
+
 def op1_shard_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.histogram_sort(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annforest.nearest(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -31,6 +41,10 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.leaked_items(docs, read_table(spark, sf_dir, "benchmark").select("item_id", "text"))
@@ -47,9 +61,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_shard_histogram": op1_shard_histogram,
+    "op2_nearest_vectors": op2_nearest_vectors,
     "op3_token_ids": op3_token_ids,
     "op5_language_id": op5_language_id,
     "op6_near_duplicates": op6_near_duplicates,
+    "op8_lm_score": op8_lm_score,
     "op9_decontamination": op9_decontamination,
     "op7_line_dedup": op7_line_dedup,
     "op10_mixing": op10_mixing,

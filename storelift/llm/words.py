@@ -105,3 +105,14 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, width: int) -> tuple[np
                 h = h * factor + w
         out[begin[i]] = mix64(np.array([h], np.uint64) ^ np.uint64(0xA5A5A5A5A5A5A5A5))[0]
     return out, begin
+
+
+def word_suffixes(texts: list[bytes], buckets: int) -> np.ndarray:
+    """A bucket from the last two bytes of each word of ``texts``, in the
+    order of ``word_hashes``."""
+    data = np.frombuffer(b"\n".join(texts).lower(), np.uint8)
+    starts, ends = word_spans(data)
+    if not len(starts):
+        return np.empty(0, np.int32)
+    last, before = data[ends - 1].astype(np.uint32), data[np.maximum(ends - 2, starts)].astype(np.uint32)
+    return ((mix64(((before << 8) | last).astype(np.uint64)) >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import annforest, decontaminate, langid, linededup, lm, mixing, neardup, sharding, tokenfile
+from . import annforest, decontaminate, htmlmain, langid, linededup, lm, mixing, neardup, sharding, tokenfile
 from .common import read_table as _read_table
 from .common import ship_package
 from .oracle import ORACLE_SQL  # noqa: F401
@@ -33,6 +33,10 @@ def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.encode_digest(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmlmain.extract(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
@@ -59,10 +63,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.withColumn("probability", F.round("probability", 9))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op1_shard_histogram": op1_shard_histogram,
     "op2_nearest_vectors": op2_nearest_vectors,
     "op3_token_ids": op3_token_ids,
+    "op4_main_text": op4_main_text,
     "op5_language_id": op5_language_id,
     "op6_near_duplicates": op6_near_duplicates,
     "op8_lm_score": op8_lm_score,

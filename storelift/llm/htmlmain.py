@@ -11,11 +11,14 @@ root.  The text is the kept nodes' blocks in page order.
 Training needs no hand labels.  Pages that mark their parts supervise: elements
 of the content kind (article, main) and what they hold are positive, elements of
 the boilerplate kinds and everything outside the content are negative.  Each
-sampled page is seen as it is and with its marks hidden (attributes removed;
+sampled page is seen as it is, with its marks hidden (attributes removed;
 section tags renamed as well), so that text and structure carry the decision
-where a page marks nothing.  The model is fitted on at most ``SAMPLE_PAGES``
-pages, chosen by a hash of their id; if they mark no content, long blocks with
-few links stand in for the marks.  Every page is extracted, from its whole html.
+where a page marks nothing, and recast: its own blocks set into other elements
+(lists, quotes, tables; asides, comments, notices, forms), so that the marks of
+all kinds are learned, also inside the content.  The model is fitted on at most
+``SAMPLE_PAGES`` pages, chosen by a hash of their id; if they mark no content,
+long blocks with few links stand in for the marks.  Every page is extracted,
+from its whole html.
 
 Defined cases: null and empty html give an empty text, as do pages without any
 kept block.  Without a page to learn from nothing is kept.  Equal page ids are
@@ -24,6 +27,8 @@ extracted each.  Further columns are not read.
 
 from __future__ import annotations
 
+import html
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,13 +38,13 @@ from pyspark.sql import functions as F
 
 from .htmltree import Page, read_page
 
-SAMPLE_PAGES = 1_500
+SAMPLE_PAGES = 400
 ROUNDS, DEPTH, RATE, BINS = 60, 4, 0.2, 32
 
 # Words that name the parts of a page in tags, classes and roles.
 CONTENT_TAGS = frozenset("article main".split())
 BOILERPLATE_TAGS = frozenset("nav aside footer header form menu dialog search fieldset dir".split())
-CONTENT_WORDS = frozenset("article main content post entry story text body prose page".split())
+CONTENT_WORDS = frozenset("article main content post entry story".split())
 BOILERPLATE_WORDS = frozenset(
     "ad ads adv advert advertisement alert aside author banner bar bio blogroll bottom breadcrumb breadcrumbs byline button buttons "
     "caption categories complementary comment comments consent contentinfo cookie cookies copyright credits dialog disclaimer discussion "
@@ -59,7 +64,7 @@ FEATURES = ("chars", "words", "blocks", "link_share", "mean_block", "longest_blo
 def _marks(page: Page) -> tuple[np.ndarray, np.ndarray]:
     """Which nodes their tag or attributes call content, and boilerplate."""
     boiler = np.array([t in BOILERPLATE_TAGS or bool(w & BOILERPLATE_WORDS) for t, w in zip(page.tag, page.tokens)])
-    content = np.array([t in CONTENT_TAGS for t in page.tag]) & ~boiler
+    content = np.array([t in CONTENT_TAGS or bool(w & CONTENT_WORDS) for t, w in zip(page.tag, page.tokens)]) & ~boiler
     return content, boiler
 
 
@@ -86,6 +91,52 @@ def _hidden(page: Page, tags: bool) -> Page:
     return Page(tag, page.parent, page.depth, [frozenset()] * len(tag), page.fields, page.block_node, page.block_text, page.block_link)
 
 
+def recast(page: Page, draw: int) -> Page:
+    """The page's own blocks set into other elements, by the number ``draw``.
+
+    Content blocks stay in a marked content element, as paragraphs, headings,
+    list items, quotes or cells.  Boilerplate blocks, and now and then a content
+    block in the part of a comment or notice, go into boilerplate elements before,
+    inside and after it.
+    """
+    rng = np.random.default_rng(zlib.crc32(("\n".join(page.block_text)).encode("utf-8", "surrogatepass")) + draw)
+    label = weak_labels(page)
+    content = [html.escape(t) for i, t in zip(page.block_node, page.block_text) if label[i] == 1]
+    other = [html.escape(t) for i, t in zip(page.block_node, page.block_text) if label[i] == 0]
+    words, tags = sorted(BOILERPLATE_WORDS), ["nav", "aside", "footer", "header", "form", "menu"]
+    pick = lambda options: options[int(rng.integers(len(options)))]
+
+    def boiler() -> str:
+        texts = [pick(other) for _ in range(int(rng.integers(1, 5)))] if other else []
+        if content and (not texts or rng.random() < 0.5):
+            texts = [pick(content) for _ in range(int(rng.integers(1, 4)))]
+        link = rng.random() < 0.4
+        body = "".join(f"<{e}>{f'<a href=x>{t}</a>' if link else t}</{e}>" for t in texts for e in [pick(["p", "li", "div", "h3"])])
+        if rng.random() < 0.5:
+            tag = pick(tags)
+            return f"<{tag}>{body}</{tag}>"
+        return f'<div class="{pick(words)}{pick(["", "-box", "_area", " wide"])}">{body}</div>'
+
+    def shown(text: str) -> str:
+        form = rng.random()
+        if form < 0.6:
+            return f"<p>{text}</p>"
+        if form < 0.7:
+            return f"<ul><li>{text}</li></ul>"
+        if form < 0.8:
+            return f"<blockquote>{text}</blockquote>"
+        if form < 0.9:
+            return f"<table><tr><td>{text}</td></tr></table>"
+        return f"<div><h2>{text[:40]}</h2><p>{text}</p></div>"
+
+    parts = [shown(t) + (boiler() if rng.random() < 0.15 else "") for t in content]
+    start, end = pick([("<article>", "</article>"), ("<main>", "</main>"), ('<div class="content">', "</div>"),
+                       ('<div id="post">', "</div>"), ('<main><div class="entry">', "</div></main>")])
+    around = [boiler() for _ in range(int(rng.integers(1, 5)))]
+    cut = int(rng.integers(len(around) + 1))
+    return read_page("<body>" + "".join(around[:cut]) + start + "".join(parts) + end + "".join(around[cut:]) + "</body>")
+
+
 def node_features(page: Page) -> np.ndarray:
     """One row of ``FEATURES`` for each node."""
     n = len(page.tag)
@@ -130,7 +181,7 @@ def node_features(page: Page) -> np.ndarray:
     tag = page.tag
     return np.stack((
         np.log1p(chars), np.log1p(total[:, 1]), np.log1p(total[:, 2]), total[:, 3] / safe, np.log1p(chars / np.maximum(total[:, 2], 1)),
-        np.log1p(longest), np.log1p(nodes), np.array(page.depth, float), chars / max(1.0, chars[0]), chars / safe[above],
+        np.log1p(longest), np.log1p(nodes), np.minimum(page.depth, 8).astype(float), chars / max(1.0, chars[0]), chars / safe[above],
         np.log1p(siblings), place, 100 * total[:, 4] / safe, 100 * total[:, 5] / safe, total[:, 6] / safe,
         np.array([t in CONTENT_TAGS for t in tag], float), boiler_tag.astype(float), content_word.astype(float), boiler_word.astype(float),
         _down(page, content)[above] * (parent >= 0), _down(page, boiler)[above] * (parent >= 0),
@@ -155,6 +206,12 @@ def weak_labels(page: Page) -> np.ndarray:
     return out
 
 
+def views_rows(views: list[tuple[Page, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the labelled nodes."""
+    return (np.concatenate([node_features(p)[label >= 0] for p, label in views]),
+            np.concatenate([label[label >= 0] for _, label in views]))
+
+
 def text_labels(page: Page) -> np.ndarray:
     """Stand-in labels of pages without marks: long blocks with few links."""
     good = np.zeros(len(page.tag))
@@ -261,11 +318,13 @@ def fit(pages: DataFrame) -> Trees:
             for source in pdf["html"]:
                 page = read_page(source)
                 for kind, label in ((0, weak_labels(page)), (1, text_labels(page))):
-                    views = [page, _hidden(page, False), _hidden(page, True)] if kind == 0 else [page]
-                    some = label >= 0
-                    if some.any():
-                        x = np.concatenate([node_features(v)[some] for v in views])
-                        yield pd.DataFrame({"kind": [kind], "x": [x.astype("<f4").tobytes()], "y": [np.tile(label[some], len(views)).astype(np.int8).tobytes()]})
+                    views = [(page, label)]
+                    if kind == 0:
+                        views += [(_hidden(page, False), label), (_hidden(page, True), label)]
+                        views += [(again, weak_labels(again)) for again in (recast(page, d) for d in range(3)) if (label == 1).any()]
+                    x, y = views_rows(views)
+                    if len(y):
+                        yield pd.DataFrame({"kind": [kind], "x": [x.astype("<f4").tobytes()], "y": [y.astype(np.int8).tobytes()]})
 
     got = sorted(sample.select("html").mapInPandas(rows, "kind int, x binary, y binary").collect(), key=lambda r: bytes(r["x"]))
 

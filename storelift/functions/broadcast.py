@@ -1,39 +1,21 @@
-"""Broadcast only what is proven small."""
+"""Broadcast only what the planner's own estimate proves small."""
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcasts(frames: list[DataFrame], max_rows: int) -> list[DataFrame]:
-    """Mark each frame for broadcast if it has at most ``max_rows`` rows.
-
-    The check takes at most ``max_rows + 1`` one-column rows of each frame
-    (``take`` scans partitions incrementally and stops as soon as it has
-    them), so it is cheap however large a table turns out to be: a small
-    dimension costs one task, a large one stops early.  Frames above the bound
-    are returned unchanged and the planner picks a shuffle join for them (or
-    AQE a broadcast, from the real shuffle size).  ``max_rows <= 0`` skips the
-    check and leaves every choice to Spark.  The probes of several frames are
-    submitted as concurrent jobs.
-    """
-    if max_rows <= 0 or not frames:
-        return list(frames)
+def estimated_bytes(df: DataFrame) -> int:
+    """Upper estimate of the optimised plan, from file sizes and statistics.
+    No job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-    def rows(df: DataFrame) -> int:
-        return len(df.select(F.lit(1)).take(max_rows + 1))
 
-    if len(frames) == 1:
-        counts = [rows(frames[0])]
-    else:
-        with ThreadPoolExecutor(max_workers=len(frames)) as pool:
-            counts = list(pool.map(rows, frames))
-    return [F.broadcast(df) if n <= max_rows else df for df, n in zip(frames, counts)]
+def broadcast_if_small(df: DataFrame, max_bytes: int) -> DataFrame:
+    """``df`` marked for broadcast if it is estimated at ``max_bytes`` or less.
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``bounded_broadcasts`` for one frame."""
-    return bounded_broadcasts([df], max_rows)[0]
+    Beyond that the join is left to Spark: a shuffle join, or a broadcast that
+    adaptive execution decides from the measured shuffle size.
+    """
+    return F.broadcast(df) if 0 < estimated_bytes(df) <= max_bytes else df

@@ -5,8 +5,6 @@ All are built-in Spark expressions, so they stay inside whole-stage codegen.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,11 +61,12 @@ def money(c: str | Column) -> Column:
 
 
 def load_time(params: Params) -> Column:
-    """``getdate()`` as a TIMESTAMP_NTZ, or the fixed ``batch_ts``."""
+    """``getdate()`` as a TIMESTAMP_NTZ in the session's time zone, or the
+    fixed ``batch_ts`` (one with an offset is turned into that zone too)."""
     if params.batch_ts is not None:
         ts = params.batch_ts
         if ts.tzinfo is not None:
-            ts = ts.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+            return F.lit(ts).cast("timestamp_ntz")
         return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
     return F.localtimestamp()
 

@@ -20,7 +20,7 @@ import sys
 
 from .params import Params
 from .plans.reports import campaign_performance, in_store_activity
-from .session import get_session
+from .session import drop_stored, get_session
 from .sinks.refresh import refresh
 from .sources.schemas import SCHEMAS
 from .sources.tables import Sources
@@ -37,6 +37,7 @@ def _pairs(items: list[str], flag: str) -> dict[str, str]:
 
 
 def main(argv: list[str] | None = None) -> int:
+    defaults = Params()
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--table", action="append", default=[], help="role=catalog table")
     ap.add_argument("--path", action="append", default=[], help="role=file location")
@@ -46,6 +47,14 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--location", default=None, help="folder for target tables created on first run")
     ap.add_argument("--batch-ts", default=None, help="fixed load time (ISO), default now")
     ap.add_argument("--no-parity", action="store_true", help="count each member's window totals once")
+    ap.add_argument("--order-date-format", default=None, help="format of a text date_id, e.g. yyyyMMdd")
+    ap.add_argument("--on-bad-id", choices=("raise", "null"), default=defaults.on_bad_id, help="member ids that are no integer")
+    ap.add_argument("--coupon-code", default=defaults.coupon_code)
+    ap.add_argument("--main-distributor-like", default=defaults.main_distributor_like)
+    ap.add_argument("--sibling-distributor", default=defaults.sibling_distributor)
+    ap.add_argument("--excluded-order-distributor", default=defaults.excluded_order_distributor)
+    ap.add_argument("--bucket-days", type=int, default=defaults.bucket_days, help="width of the range join's time buckets")
+    ap.add_argument("--checkpoint-dir", default=None, help="shared folder for intermediates, where spark.checkpoint.dir is unset")
     args = ap.parse_args(argv)
 
     tables, paths = _pairs(args.table, "--table"), _pairs(args.path, "--path")
@@ -56,17 +65,27 @@ def main(argv: list[str] | None = None) -> int:
         raise SystemExit("nothing to do: give --main-table and/or --sibling-table")
 
     spark = get_session()
+    if args.checkpoint_dir and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(args.checkpoint_dir)
     frames = {r: spark.table(n) for r, n in tables.items()}
     frames.update({r: spark.read.format(args.format).load(p) for r, p in paths.items()})
     src = Sources(**frames)
     params = Params(
         batch_ts=dt.datetime.fromisoformat(args.batch_ts) if args.batch_ts else None,
         parity=not args.no_parity,
+        order_date_format=args.order_date_format,
+        on_bad_id=args.on_bad_id,
+        coupon_code=args.coupon_code,
+        main_distributor_like=args.main_distributor_like,
+        sibling_distributor=args.sibling_distributor,
+        excluded_order_distributor=args.excluded_order_distributor,
+        bucket_days=args.bucket_days,
     )
     for target, build in ((args.main_table, campaign_performance), (args.sibling_table, in_store_activity)):
         if target:
             location = f"{args.location.rstrip('/')}/{target}" if args.location else None
             refresh(build(src, params), target, location)
+    drop_stored(spark)
     return 0
 
 

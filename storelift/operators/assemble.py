@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.expr import batch_date, label, load_time
 from ..params import Params
 from ..functions.sqlexpr import cols
-from .metrics import conversion_metric_columns, kpi_columns
+from .metrics import SEGMENTS, conversion_metric_columns, cr_name, kpi_columns
 
+# The published column names and their order.
 DIMENSION_COLUMNS = (
     "campaign_type", "agent_id", "partner", "distributor", "city", "region", "store_id", "store_name",
     "store_id_store_name", "campaign_code", "campaign_name", "date_id",
@@ -21,16 +22,13 @@ PARTICIPANT_COLUMNS = (
 
 def _window_block(w: int) -> list[str]:
     """Output order of one window's 20 columns."""
-    seg = ("", "new_", "existing_")
-    cr = [("CR_0_day" if w == 0 else f"CR_{w}_days") if not s
-          else (f"{s}member_CR_0_day" if w == 0 else f"{s}member_CR_{w}_days") for s in seg]
     return (
-        [f"converted_{s}member_{w}_days" for s in seg]
-        + cr
-        + [f"converted_rrp_amt_{s}{w}_days" for s in seg]
-        + [f"converted_{s}member_aspp_{w}_days" for s in seg]
-        + [f"converted_order_cnt_{s}{w}_days" for s in seg]
-        + [f"converted_{s}member_atv_{w}_days" for s in seg]
+        [f"converted_{s}member_{w}_days" for s in SEGMENTS]
+        + [cr_name(w, s) for s in SEGMENTS]
+        + [f"converted_rrp_amt_{s}{w}_days" for s in SEGMENTS]
+        + [f"converted_{s}member_aspp_{w}_days" for s in SEGMENTS]
+        + [f"converted_order_cnt_{s}{w}_days" for s in SEGMENTS]
+        + [f"converted_{s}member_atv_{w}_days" for s in SEGMENTS]
         + [f"converted_initial_member_{w}_days", f"converted_repurchase_member_{w}_days"]
     )
 
@@ -69,8 +67,8 @@ def assemble_main(base0: DataFrame, reservations: DataFrame, window_bases: dict[
     Each window table has finer keys than the join (campaign type, partner,
     city and store name are keys but are not joined on), so one report row
     can meet several window rows, and the two joins give the product of both,
-    as in the source.  Each window table is its own aggregation of the
-    (checkpointed) attributed groups, computed once.
+    as in the source.  Both windows may come from one table; each join reads
+    its own columns of it.
     """
     out = with_reservations(base0, reservations)
     join_keys = ["store_id", "campaign_code", "event_id", "date_id"]

@@ -63,12 +63,11 @@ def visit_window_stats(visits: DataFrame, daily: DataFrame, params: Params = Par
     * ``ord_w``: effective orders in the window,
     * ``hi_w`` / ``lo_w``: max / min first-order flag of effective days.
 
-    Only keys with at least one order day in the largest window appear.
+    ``visits`` are distinct keys without NULLs.  Only keys with at least one
+    order day in the largest window appear.
     """
     windows = params.windows
-    keys = visits.select(*VISIT_KEYS).filter(
-        F.col("member_key").isNotNull() & F.col("store_id").isNotNull() & F.col("event_dt").isNotNull()
-    ).distinct()
+    keys = visits.select(*VISIT_KEYS)
     right = daily.select(
         "member_key",
         F.col("lego_store_code").alias("store_id"),

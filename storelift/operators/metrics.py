@@ -20,7 +20,7 @@ from ..functions.sqlexpr import cols, q, sql_flag, sql_ratio, sums
 from ..params import Params
 from .attribution import VISIT_KEYS, conversion_columns
 
-# Report keys of the per-event-day table (the source's base_0 grain; the
+# Report keys of the per-event-day table (the source's base_0 grain; the
 # label column store_id_store_name is derived from two of them).
 BASE_KEYS = (
     "campaign_type", "agent_id", "distributor", "region", "partner", "city", "store_id",

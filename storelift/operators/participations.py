@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.broadcast import bounded_broadcasts
+from ..functions.broadcast import broadcast_if_small
 from ..functions.expr import day_of, flag, member_key
 from ..params import Params
 from ..sources.tables import Sources
@@ -34,13 +34,13 @@ def verified_visits(src: Sources, params: Params, distributor: Column) -> DataFr
     """Verified reservations of listed campaigns at the selected distributor's
     stores, with store and campaign attributes, de-duplicated.
 
-    The campaign lookup and the store dimensions are broadcast when a
-    bounded probe proves them small; the LEFT JOINs of the source query
-    followed by ``IS NOT NULL`` / ``LIKE`` filters on their columns are inner
-    joins.  The de-duplication (map-side partial first) shrinks repeated
-    check-ins before the member and coupon joins.
+    The campaign lookup and the store dimensions are broadcast when their
+    estimated bytes are small; the LEFT JOINs of the source query followed by
+    ``IS NOT NULL`` / ``LIKE`` filters on their columns are inner joins.  The
+    de-duplication (map-side partial first) shrinks repeated check-ins before
+    the member and coupon joins.
     """
-    campaigns, stores, app = bounded_broadcasts([
+    campaigns, stores, app = [broadcast_if_small(d, params.broadcast_max_bytes) for d in (
         src.campaign_code.select("campaign_code", "campaign_type"),
         src.phy_store.filter(distributor)
         .select(F.col("lego_store_code").alias("store_code"), "distributor", "region", "partner"),
@@ -48,7 +48,7 @@ def verified_visits(src: Sources, params: Params, distributor: Column) -> DataFr
             F.col("store_id").alias("_app_store_id"), F.col("city_name").alias("city"),
             F.col("name").alias("store_name"),
         ),
-    ], params.broadcast_max_rows)
+    )]
     rev = src.campaign_reservation.filter(F.col("res_status") == params.verified_status)
     joined = (
         rev.join(campaigns, "campaign_code", "inner")
@@ -64,32 +64,32 @@ def verified_visits(src: Sources, params: Params, distributor: Column) -> DataFr
         "source_type",
         F.col("type_value").alias("member_id"),
         "res_status",
-        member_key("type_value", params).alias("member_key"),
-    ).distinct()
+    ).distinct().withColumn("member_key", visit_member_key(params))
 
 
-def member_join_times(members: DataFrame, params: Params) -> DataFrame:
-    """One row per (integer member id, join time) with the set of its
-    registration stores (``_stores``, non-NULL ones) and whether one of them
-    is NULL (``_null_store``).
+def visit_member_key(params: Params) -> Column:
+    """Integer member id of a visit as a long.
 
-    This is the source's DISTINCT member sub-select folded per join time:
-    the participation relation keeps one row per (join time, new-member tag),
-    and both tags of a join time follow from the store set, so joining these
-    rows yields participation rows that are already distinct.
+    Visits without one (NULL or, with ``on_bad_id="null"``, malformed ids) get
+    a number beyond the integers instead, spread by visit attributes: it
+    matches no member, coupon or order, and such visits do not meet in one
+    partition of the joins.  The attributes are part of every grouping, so a
+    group's rows share one number.
     """
+    spread = F.pmod(F.xxhash64("member_id", "campaign_code", "store_id", "event_id", "event_dt"), F.lit(1 << 40))
+    return F.coalesce(member_key("member_id", params).cast("long"), spread + F.lit(1 << 40))
+
+
+def member_rows(members: DataFrame, params: Params) -> DataFrame:
+    """The source's DISTINCT member sub-select with its integer id; rows
+    without an id are left out (they match no visit)."""
     return members.select(
-        member_key("member_detail_id", params).alias("_mbr_key"),
-        "join_time",
-        "eff_reg_store",
-    ).groupBy("_mbr_key", "join_time").agg(
-        F.collect_set("eff_reg_store").alias("_stores"),
-        F.max(F.col("eff_reg_store").isNull()).alias("_null_store"),
-    )
+        member_key("member_detail_id", params).cast("long").alias("_mbr_key"), "join_time", "eff_reg_store",
+    ).where("_mbr_key IS NOT NULL").distinct()
 
 
 def new_member_tag(df: DataFrame) -> DataFrame:
-    """Row form of the tag: 1 when the member joined on the event day at the
+    """The tag of each (visit, member row): 1 when the member joined on the event day at the
     event store (``eff_reg_store``), else 0 (also when the member is
     unknown)."""
     return df.withColumn(
@@ -98,22 +98,6 @@ def new_member_tag(df: DataFrame) -> DataFrame:
     )
 
 
-def new_member_tags(df: DataFrame) -> DataFrame:
-    """Set form of the tag, for rows joined to ``member_join_times``: one
-    output row per tag value the member's rows with this join time produce
-    (1 if joined on the event day at a registration store equal to the event
-    store; 0 if any of its rows is not such a row, or the member is
-    unknown)."""
-    same_day = F.coalesce(day_of("join_time") == F.col("event_dt"), F.lit(False))
-    in_set = F.coalesce(F.array_contains("_stores", F.col("store_id")), F.lit(False))
-    others = (F.coalesce(F.size("_stores"), F.lit(0)) - in_set.cast("int")
-              + F.coalesce(F.col("_null_store"), F.lit(False)).cast("int"))
-    tag1 = same_day & in_set
-    tag0 = ~same_day | (others > 0) | F.col("_mbr_key").isNull()
-    tags = F.filter(F.array(F.when(tag1, F.lit(1)), F.when(tag0, F.lit(0))), lambda t: t.isNotNull())
-    return df.withColumn("new_member_tag", F.explode(tags)).drop("_stores", "_null_store", "_mbr_key")
-
-
 def coupon_keys(coupons: DataFrame, params: Params) -> DataFrame:
     """Distinct (member, redemption day, store) of redeemed recruitment coupons."""
     return (
@@ -122,10 +106,11 @@ def coupon_keys(coupons: DataFrame, params: Params) -> DataFrame:
             & (F.col("coupon_status_code") == params.coupon_status)
         )
         .select(
-            member_key("member_detail_id", params).alias("_cp_member"),
+            member_key("member_detail_id", params).cast("long").alias("_cp_member"),
             day_of("redeemed_time").alias("_cp_day"),
             F.col("redeemed_channel_code").alias("_cp_store"),
         )
+        .where("_cp_member IS NOT NULL")
         .distinct()
     )
 
@@ -153,15 +138,18 @@ def flag_redemption(df: DataFrame, coupons: DataFrame, params: Params = Params()
 
 
 def _with_members(visits: DataFrame, src: Sources, params: Params) -> DataFrame:
-    mbr = member_join_times(src.member_detail, params)
-    return new_member_tags(visits.join(mbr, visits.member_key == mbr._mbr_key, "left"))
+    """Visits beside their member rows, tagged, with repeats removed.
+
+    The repeats (member rows that differ in their store only) go in a grouping
+    that contains the join key, so after a shuffle join it needs no exchange.
+    """
+    mbr = member_rows(src.member_detail, params)
+    tagged = new_member_tag(visits.join(mbr, visits.member_key == mbr._mbr_key, "left"))
+    return tagged.drop("_mbr_key", "eff_reg_store").distinct()
 
 
 def participation_rows(src: Sources, params: Params = Params(), scope: str = "main") -> DataFrame:
-    """Participation rows plus the integer ``member_key``.  They are distinct
-    by construction: the visits are de-duplicated, each (member, join time)
-    joins once, each tag value appears once, and the coupon keys are
-    distinct on the join keys."""
+    """Distinct participation rows plus the long ``member_key``."""
     if scope == "main":
         visits = verified_visits(src, params, main_distributor(params))
         out = flag_redemption(_with_members(visits, src, params), src.coupon_benefit, params)
@@ -175,14 +163,29 @@ def participation_rows(src: Sources, params: Params = Params(), scope: str = "ma
     return out.select(*cols, "member_key")
 
 
-def participations_keyed(src: Sources, params: Params = Params(), scope: str = "main") -> DataFrame:
-    """The DISTINCT participation relation plus the integer ``member_key``
-    (``participation_rows`` are distinct already)."""
-    return participation_rows(src, params, scope)
+def visit_keys(src: Sources, params: Params = Params()) -> DataFrame:
+    """Distinct (member_key, store_id, event_dt) of the main table's visits,
+    straight from the reservations: listed campaigns and selected stores are
+    semi-joins, and no member is joined."""
+    campaigns = src.campaign_code.select("campaign_code")
+    return (
+        src.campaign_reservation.filter(F.col("res_status") == params.verified_status)
+        .join(broadcast_if_small(campaigns, params.broadcast_max_bytes), "campaign_code", "left_semi")
+        .join(broadcast_if_small(main_stores(src, params), params.broadcast_max_bytes), "store_code", "left_semi")
+        .select(member_key("type_value", params).cast("long").alias("member_key"),
+                F.col("store_code").alias("store_id"), day_of("verification_time").alias("event_dt"))
+        .where("member_key IS NOT NULL AND event_dt IS NOT NULL")
+        .distinct()
+    )
+
+
+def main_stores(src: Sources, params: Params) -> DataFrame:
+    """Codes of the main table's stores."""
+    return src.phy_store.filter(main_distributor(params)).select(F.col("lego_store_code").alias("store_code"))
 
 
 def participations(src: Sources, params: Params = Params(), scope: str = "main") -> DataFrame:
     """Verified participations: one row per distinct combination of campaign,
     agent, store attributes, event, day, source, member, status, join time,
     new-member tag (and, for the main table, coupon flag)."""
-    return participations_keyed(src, params, scope).drop("member_key")
+    return participation_rows(src, params, scope).drop("member_key")

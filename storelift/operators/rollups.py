@@ -1,8 +1,8 @@
 """Daily roll-ups of the order-line fact (OP-5, OP-6).
 
-The order lines are read once and rolled up once into one row per
-(member text, day, store) carrying both the effective-order figures and the
-net sales; the two published roll-ups are projections of it.
+For the reports the order lines are read once and rolled up once into one row
+per (member text, day, store) carrying both the effective-order figures and the
+net sales.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.broadcast import broadcast_if_small
 from ..functions.expr import day_of, flag, member_key, positive_amount, returned_amount
 from ..params import Params
 
@@ -26,6 +27,13 @@ def attributable_lines(orders: DataFrame, params: Params) -> DataFrame:
     )
 
 
+def at_stores(orders: DataFrame, stores: DataFrame, params: Params = Params()) -> DataFrame:
+    """The lines of the given stores (column store_code): only they can meet a
+    visit, so the others are dropped before the roll-up's first shuffle."""
+    codes = broadcast_if_small(stores.withColumnRenamed("store_code", "lego_store_code").distinct(), params.broadcast_max_bytes)
+    return orders.join(codes, "lego_store_code", "left_semi")
+
+
 def daily_activity(orders: DataFrame, params: Params = Params()) -> DataFrame:
     """One row per (crm_member_id, date_id, lego_store_code) with
 
@@ -59,7 +67,7 @@ def daily_activity(orders: DataFrame, params: Params = Params()) -> DataFrame:
         F.max("_first").alias("initial_purchase"),
     )
     return per_day.withColumns({
-        "member_key": member_key("crm_member_id", params),
+        "member_key": member_key("crm_member_id", params).cast("long"),
         "order_day": day_of("date_id", params.order_date_format),
     })
 
@@ -74,5 +82,7 @@ def daily_orders(orders: DataFrame, params: Params = Params()) -> DataFrame:
 
 def daily_net_sales(orders: DataFrame, params: Params = Params()) -> DataFrame:
     """Net retail amount per member, day and store: positive-quantity lines
-    minus the absolute amount of negative-quantity lines, all orders."""
-    return daily_activity(orders, params).select(*DAY_KEYS, "order_rrp_amt")
+    minus the absolute amount of negative-quantity lines, all orders.  One
+    partially aggregated step: no order is told apart."""
+    net = (F.sum(positive_amount("sales_qty", "order_rrp_amt")) - F.sum(returned_amount("sales_qty", "order_rrp_amt")))
+    return attributable_lines(orders, params).groupBy(*DAY_KEYS).agg(net.alias("order_rrp_amt"))

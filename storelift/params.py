@@ -56,16 +56,15 @@ class Params:
     # largest window.  Rows of the order side within max(windows) days of a
     # bucket start are also sent to the previous bucket.
     bucket_days: int = 120
-    # Dimensions with at most this many rows are broadcast (checked with a
-    # take(max + 1) probe before the hint is given); larger ones are shuffled.
-    # Keep it near Spark's own broadcast size (100k short rows is ~10 MB).
-    broadcast_max_rows: int = 100_000
+    # Lookups whose plan is estimated at this many bytes or less are broadcast;
+    # for others Spark decides (adaptively, from the measured size).  0: never.
+    broadcast_max_bytes: int = 32 << 20
     # Fixed load time for repeatable runs; None means the current time.
     batch_ts: _dt.datetime | None = None
-    # Materialise the attributed participation groups (reliable checkpoint in
-    # the session's checkpoint folder) before the same-day and 7/30-day
-    # reports branch off them: computed once, and lineage is cut there.
-    checkpoint_groups: bool = True
+    # Write the attributed participation groups (Parquet in the session's
+    # shared folder) before the same-day and 7/30-day reports branch off them:
+    # computed once, read with pruned columns, and lineage is cut there.
+    store_groups: bool = True
     # Read only order lines that can fall in a window: from the first to the
     # last verified event day + max(windows).  The bound reaches the scan as
     # a pushed filter (partition pruning / row-group skipping on date_id).

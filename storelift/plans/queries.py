@@ -7,6 +7,7 @@ Every query reads the whole test tables through the role mapping of
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as _dt
 from collections.abc import Callable
 
@@ -24,6 +25,7 @@ from ..operators.participations import flag_redemption, participation_rows, part
 from ..operators.reservations import count_reservations
 from ..operators.rollups import daily_net_sales, daily_orders
 from ..params import Params
+from ..session import drop_path
 from ..sinks.refresh import refresh, scratch_table
 from ..sources import testdata
 from . import lineitem as LI
@@ -76,9 +78,14 @@ def q_daily_net_sales(spark, sf_dir):
         "order_rrp_amt", F.col("order_rrp_amt").cast("decimal(18,2)"))
 
 
+def _one_window(w: int, params: Params = PARAMS) -> Params:
+    """Only window ``w`` is joined and aggregated."""
+    return dataclasses.replace(params, windows=(w,))
+
+
 def _attribution(w: int, params: Params) -> Query:
     def run(spark, sf_dir):
-        groups = attributed_groups(_src(spark, sf_dir), params)
+        groups = attributed_groups(_src(spark, sf_dir), _one_window(w, params))
         if w == 0:
             keys = list(GROUP_KEYS_0)
         else:
@@ -97,19 +104,19 @@ def q_participation_metrics(spark, sf_dir):
 
 
 def q_conversion_metrics_0d(spark, sf_dir):
-    base = same_day_report(attributed_groups(_src(spark, sf_dir), PARAMS), PARAMS, 0)
+    base = same_day_report(attributed_groups(_src(spark, sf_dir), _one_window(0)), PARAMS, 0)
     return base.select(*BASE_KEYS, *conversion_metric_columns(0))
 
 
 def _conversion_metrics(w: int) -> Query:
     def run(spark, sf_dir):
-        base = window_report(attributed_groups(_src(spark, sf_dir), PARAMS), PARAMS, (w,))
+        base = window_report(attributed_groups(_src(spark, sf_dir), _one_window(w)), PARAMS, (w,))
         return base.select(*WINDOW_KEYS, *conversion_metric_columns(w))
     return run
 
 
 def q_kpi_ratios(spark, sf_dir):
-    base = kpi_ratios(same_day_report(attributed_groups(_src(spark, sf_dir), PARAMS), PARAMS, 0), 0)
+    base = kpi_ratios(same_day_report(attributed_groups(_src(spark, sf_dir), _one_window(0)), PARAMS, 0), 0)
     seg = ("", "new_", "existing_")
     ratios = ([cr_name(0, s) for s in seg] + [f"converted_{s}member_aspp_0_days" for s in seg]
               + [f"converted_{s}member_atv_0_days" for s in seg])
@@ -126,12 +133,15 @@ def q_in_store_activity(spark, sf_dir):
 
 def q_refresh_roundtrip(spark, sf_dir):
     """Load the sibling report twice by full refresh (create, then overwrite
-    by position) and read the table back."""
+    by position), read the table back and remove it."""
     name, location = scratch_table(spark, "in_store_activity")
     report = in_store_activity(_src(spark, sf_dir), PARAMS)
     refresh(report, name, location)
     refresh(report, name, location)
-    return spark.table(name)
+    back = spark.table(name).checkpoint()
+    spark.sql(f"DROP TABLE {name}")
+    drop_path(spark, location)
+    return back
 
 
 def q_dimension_key_check(spark, sf_dir):

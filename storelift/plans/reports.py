@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,11 +12,11 @@ from ..functions.expr import day_of
 from ..operators.assemble import assemble_main, assemble_sibling
 from ..operators.attribution import visit_window_stats, with_window_stats
 from ..operators.metrics import BASE_KEYS, participation_groups, participation_metrics, same_day_report, window_report
-from ..operators.participations import participation_rows
+from ..operators.participations import main_stores, participation_rows, visit_keys
 from ..operators.reservations import count_reservations
-from ..operators.rollups import daily_activity
+from ..operators.rollups import at_stores, daily_activity
 from ..params import Params
-from ..session import checkpointed
+from ..session import stored
 from ..sources.tables import Sources
 
 
@@ -46,19 +45,30 @@ def attributable_orders(src: Sources, params: Params = Params(), bounds: tuple |
     if dict(orders.dtypes).get("date_id") == "date":
         # Plain column comparison: pushed to the scan.
         return orders.filter(F.col("date_id").between(F.lit(lo), F.lit(hi)))
-    return orders.filter(day_of("date_id", params.order_date_format).between(F.lit(lo), F.lit(hi)))
+    day = day_of("date_id", params.order_date_format).between(F.lit(lo), F.lit(hi))
+    text_bounds = sortable_text(lo, hi, params.order_date_format)
+    if text_bounds:
+        # Text days in a sortable format: compare the text too, which reaches the scan.
+        day = F.col("date_id").between(*map(F.lit, text_bounds)) & day
+    return orders.filter(day)
+
+
+def sortable_text(lo: dt.date, hi: dt.date, fmt: str | None) -> tuple[str, str] | None:
+    """The bounds as text, if days in format ``fmt`` sort as their text does."""
+    forms = {"yyyyMMdd": "%Y%m%d", "yyyy-MM-dd": "%Y-%m-%d", "yyyy/MM/dd": "%Y/%m/%d"}
+    return (lo.strftime(forms[fmt]), hi.strftime(forms[fmt])) if fmt in forms else None
 
 
 def attributed_groups(src: Sources, params: Params = Params()) -> DataFrame:
     """Same-day participation groups of the main table with their visit's
-    window statistics: the shared input of every conversion metric."""
-    with ThreadPoolExecutor(max_workers=1) as pool:
-        # The event-day bound job runs while the participation plan (and its
-        # broadcast probes) is being built.
-        bounds = pool.submit(event_day_bounds, src, params) if params.prune_order_days else None
-        groups = participation_groups(participation_rows(src, params, "main"))
-        orders = attributable_orders(src, params, bounds.result() if bounds else None)
-    stats = visit_window_stats(groups, daily_activity(orders, params), params)
+    window statistics: the shared input of every conversion metric.
+
+    The visits that orders are attributed to come straight from the
+    reservations, so members and coupons are joined once, for the groups.
+    """
+    groups = participation_groups(participation_rows(src, params, "main"))
+    orders = at_stores(attributable_orders(src, params), main_stores(src, params), params)
+    stats = visit_window_stats(visit_keys(src, params), daily_activity(orders, params), params)
     return with_window_stats(groups, stats)
 
 
@@ -68,14 +78,17 @@ def campaign_performance(src: Sources, params: Params = Params()) -> DataFrame:
     if tuple(params.windows) != (0, 7, 30):
         raise ValueError("the 82-column table is defined for windows (0, 7, 30)")
     groups = attributed_groups(src, params)
-    if params.checkpoint_groups:
-        # The same-day and both longer-window tables read these rows but
-        # prune different columns, which would stop Spark from reusing one
-        # computation for all three.
-        groups = checkpointed(groups)
+    if params.store_groups:
+        # The same-day and the longer-window tables read these rows but prune
+        # different columns, which would stop Spark from reusing one
+        # computation for both.
+        groups = stored(groups, "attributed-groups")
     base0 = same_day_report(groups, params, 0)
-    later = {w: window_report(groups, params, (w,)) for w in (7, 30)}
-    return assemble_main(base0, count_reservations(src.campaign_reservation, params), later, params)
+    later = window_report(groups, params, (7, 30))
+    if params.store_groups:
+        # At report grain; the two window joins read their own columns of it.
+        later = stored(later, "window-report")
+    return assemble_main(base0, count_reservations(src.campaign_reservation, params), {7: later, 30: later}, params)
 
 
 def in_store_activity(src: Sources, params: Params = Params()) -> DataFrame:

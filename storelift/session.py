@@ -13,7 +13,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark import SparkConf
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs rely on.  AQE re-plans joins from real shuffle sizes and
@@ -28,8 +28,6 @@ _DEFAULTS = {
     # Call-site capture for error messages costs a Python stack walk per
     # Column call; plans of wide reports make thousands of them.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    # Checkpointed intermediates are written compressed.
-    "spark.checkpoint.compress": "true",
 }
 
 # Only for sessions this module starts on a local master (tests, benches).
@@ -50,6 +48,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
+    SparkContext._ensure_initialized()  # starts the JVM, which has read the submitted settings
     loaded = SparkConf()
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -109,9 +108,3 @@ def drop_path(spark: SparkSession, path: str) -> None:
 def drop_stored(spark: SparkSession) -> None:
     """Remove every table ``stored`` wrote in this session."""
     drop_path(spark, f"{shared_dir(spark)}/stored")
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of ``df`` in the shared folder (eager)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -3,24 +3,46 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_dir
 
 
+@contextmanager
+def _whole_table(spark: SparkSession) -> Iterator[None]:
+    """Inserts replace a whole table, not only the partitions they write.
+    (A writer option does not reach catalog tables; the setting does.)"""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "static")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def refresh(df: DataFrame, table: str, location: str | None = None, fmt: str = "parquet") -> None:
     """Replace the contents of ``table`` with ``df``.
 
     The source deletes all rows and inserts the query result by position.
     Here an existing table gets ``INSERT OVERWRITE`` by column position (one
     Spark job and commit); a missing table is created from ``df`` first
-    (the source's commented-out drop-and-create path).  ``location`` puts a
-    new table's files in a chosen folder (e.g. shared storage).
+    (the source's commented-out drop-and-create path).  A partitioned table is
+    replaced as a whole, also where the session overwrites partitions
+    dynamically; its columns stand in the table's order, partition columns
+    last.  ``location`` puts a new table's files in a chosen folder (e.g.
+    shared storage).
     """
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
-        df.write.insertInto(table, overwrite=True)
+        with _whole_table(spark):
+            df.write.insertInto(table, overwrite=True)
         return
     writer = df.write.format(fmt).mode("overwrite")
     if location:

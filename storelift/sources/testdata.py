@@ -8,20 +8,17 @@ with the tables.  ``oracle_sql.py`` states the same mapping in SQL.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import params as P
-from ..functions.broadcast import bounded_broadcasts
 from .tables import Sources
 
 # Fixed values of the mapping (FIXTURES.md section 2).
 STATUS_RESERVED = "已预约"
 LIFECYCLE_REPEAT = "repurchase"
 OTHER_COUPON_CODE = "Q0"
-LISTED_CAMPAIGNS = (("C0", "LTP"), ("C1", "MBB"))
+COUPON_ISSUED = "issued"
 
 
 # Column types of the generated test tables that the queries read (as stored
@@ -46,78 +43,90 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
-def _store(k: str) -> str:
-    return f"concat('S', CAST({k} % 10 AS STRING))"
+def _home(extra: str = "k % 3") -> str:
+    """Store number of an event: near the user's home store, so that a user's
+    visits and purchases meet; it grows with the users as the suppliers do."""
+    return f"((user_id * 2) div 3 + {extra})"
+
+
+def _padded(text: str, width: int) -> str:
+    return f"lpad(CAST({text} AS STRING), {width}, '0')"
 
 
 def sources(spark: SparkSession, sf_dir: str) -> Sources:
+    """The seven inputs.  Every row of the tables takes part.  Store, campaign,
+    agent and event codes come from ranges that grow with the tables; some codes
+    are missing from each dimension, listed twice, padded or NULL, so that every
+    join also misses, repeats and meets NULL keys."""
     ev = read_table(spark, sf_dir, "events").selectExpr(
         "event_id", "ts", "user_id", "event_type", "value",
         "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k",
+    ).selectExpr("*", f"CAST({_home()} AS BIGINT) AS store_no", "user_id div 5 AS circle")
+
+    supplier = read_table(spark, sf_dir, "supplier")
+    stores = (supplier.join(read_table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left")
+                      .join(read_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+                      .select("s_suppkey", "s_name", "n_name", "r_name"))
+    # Codes starting with X, and negative numbers, are named by no fact.
+    code = "concat(CASE WHEN s_suppkey % 17 = 3 THEN 'X' ELSE 'S' END, CAST(s_suppkey AS STRING))"
+    distributor = ("CASE WHEN s_suppkey % 5 = 0 THEN 'LBR' WHEN s_suppkey % 11 = 7 THEN 'OTHER' "
+                   "ELSE concat('LCS ', r_name) END")
+    phy_store = stores.selectExpr(f"{code} AS lego_store_code", f"{distributor} AS distributor",
+                                  "r_name AS region", "s_name AS partner")
+    app_store = stores.selectExpr("CAST(CASE WHEN s_suppkey % 13 = 4 THEN -1 - s_suppkey ELSE s_suppkey END AS INT) AS store_id",
+                                  "n_name AS city_name", "s_name AS name")
+    # Each supplier lists one campaign; every tenth one is listed as both types.
+    campaign_code = supplier.selectExpr(
+        "concat(CASE WHEN s_suppkey % 5 = 2 THEN 'U' ELSE 'C' END, CAST(s_suppkey AS STRING)) AS campaign_code",
+        "explode(CASE WHEN s_suppkey % 10 = 5 THEN array('LTP', 'MBB') WHEN s_suppkey % 2 = 0 THEN array('LTP') "
+        "ELSE array('MBB') END) AS campaign_type")
+
+    reservation = ev.where("event_type IN ('signup', 'view', 'error')").selectExpr(
+        "concat('C', CAST(circle * 2 + (k div 10) % 2 AS STRING)) AS campaign_code",
+        "concat('Camp ', CAST(circle * 2 + (k div 10) % 2 AS STRING)) AS campaign_name",
+        "concat('A', CAST((user_id div 25) * 2 + event_id % 2 AS STRING)) AS agent_id",
+        "concat('S', CAST(store_no AS STRING)) AS store_code",
+        "CAST(store_no AS INT) AS store_id",
+        "CASE WHEN event_id % 83 = 1 THEN NULL ELSE concat('E', CAST(circle AS STRING), '-', CAST(k div 50 AS STRING)) END AS event_id",
+        f"CASE WHEN event_id % 97 = 5 THEN NULL WHEN event_id % 31 = 7 THEN {_padded('user_id', 8)} "
+        "ELSE CAST(user_id AS STRING) END AS type_value",
+        f"CASE WHEN event_type = 'error' THEN '{P.STATUS_CANCELLED}' "
+        f"WHEN event_id % 5 = 0 THEN '{STATUS_RESERVED}' ELSE '{P.STATUS_VERIFIED}' END AS res_status",
+        "CASE WHEN event_type = 'view' THEN 2 ELSE 1 END AS source_type",
+        "ts AS verification_time",
     )
 
-    sup = read_table(spark, sf_dir, "supplier").where("s_suppkey < 10")
-    nation = read_table(spark, sf_dir, "nation")
-    region = read_table(spark, sf_dir, "region")
-    stores = (sup.join(nation, sup.s_nationkey == nation.n_nationkey, "left")
-                 .join(region, nation.n_regionkey == region.r_regionkey, "left")
-                 .select("s_suppkey", "s_name", "n_name", "r_name"))
-    phy_store = stores.selectExpr(
-        "concat('S', CAST(s_suppkey AS STRING)) AS lego_store_code",
-        "CASE WHEN s_suppkey % 5 = 0 THEN 'LBR' ELSE concat('LCS ', r_name) END AS distributor",
-        "r_name AS region",
-        "s_name AS partner",
+    # A row for the user's first event; for some users also one for the last
+    # event, or one for another store at the same time.
+    per_user = ev.groupBy("user_id").agg(
+        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
+        F.min_by("store_no", "event_id").alias("first_store"), F.max_by("store_no", "event_id").alias("last_store"))
+    member_detail = per_user.selectExpr(
+        f"CASE WHEN user_id % 53 = 52 THEN NULL WHEN user_id % 7 = 3 THEN {_padded('user_id', 10)} "
+        "ELSE CAST(user_id AS STRING) END AS member_detail_id",
+        "explode(filter(array(named_struct('t', first_ts, 's', first_store), "
+        "CASE WHEN user_id % 4 = 1 THEN named_struct('t', last_ts, 's', last_store) END, "
+        "CASE WHEN user_id % 6 = 5 THEN named_struct('t', first_ts, 's', last_store) END), x -> x IS NOT NULL)) AS m",
+    ).selectExpr("member_detail_id", "m.t AS join_time", "concat('S', CAST(m.s AS STRING)) AS eff_reg_store")
+
+    coupon_benefit = ev.where("event_type = 'click'").selectExpr(
+        "CAST(user_id AS STRING) AS member_detail_id",
+        "ts AS redeemed_time",
+        "concat('S', CAST(store_no AS STRING)) AS redeemed_channel_code",
+        f"CASE WHEN event_id % 2 = 0 THEN '{P.RECRUITMENT_COUPON_CODE}' ELSE '{OTHER_COUPON_CODE}' END AS coupon_code",
+        f"CASE WHEN event_id % 4 = 2 THEN '{COUPON_ISSUED}' ELSE '{P.COUPON_STATUS_REDEEMED}' END AS coupon_status_code",
     )
-    app_store = stores.selectExpr("CAST(s_suppkey AS INT) AS store_id", "n_name AS city_name", "s_name AS name")
-
-    # Broadcast the store lookup of the order lines (proven small by a
-    # bounded probe, started now and awaited below) so the order lines are
-    # not shuffled by store: the roll-up then shuffles on its own full key and
-    # a store with a large share of all purchases is not handled by one task.
-    store_lookup = phy_store.selectExpr("lego_store_code AS _store", "distributor AS distributor_name")
-    with ThreadPoolExecutor(max_workers=1) as pool:
-        probe = pool.submit(bounded_broadcasts, [store_lookup], 10_000)
-
-        reservation = ev.where("event_type IN ('signup', 'view', 'error')").selectExpr(
-            "concat('C', CAST((k div 10) % 3 AS STRING)) AS campaign_code",
-            "concat('Camp ', CAST((k div 10) % 3 AS STRING)) AS campaign_name",
-            "concat('A', CAST(event_id % 2 AS STRING)) AS agent_id",
-            f"{_store('k')} AS store_code",
-            "CAST(k % 10 AS INT) AS store_id",
-            "concat('E', CAST(k div 50 AS STRING)) AS event_id",
-            "CAST(user_id AS STRING) AS type_value",
-            f"CASE WHEN event_type = 'error' THEN '{P.STATUS_CANCELLED}' "
-            f"WHEN event_id % 5 = 0 THEN '{STATUS_RESERVED}' ELSE '{P.STATUS_VERIFIED}' END AS res_status",
-            "CASE WHEN event_type = 'view' THEN 2 ELSE 1 END AS source_type",
-            "ts AS verification_time",
-        )
-
-        member_detail = ev.groupBy("user_id").agg(
-            F.expr("min(ts) AS join_time"), F.expr("min_by(k, event_id) AS first_k"),
-        ).selectExpr(
-            "CAST(user_id AS STRING) AS member_detail_id", "join_time", f"{_store('first_k')} AS eff_reg_store",
-        )
-
-        campaign_code = spark.createDataFrame(list(LISTED_CAMPAIGNS), "campaign_code string, campaign_type string")
-
-        coupon_benefit = ev.where("event_type = 'click'").selectExpr(
-            "CAST(user_id AS STRING) AS member_detail_id",
-            "ts AS redeemed_time",
-            f"{_store('k')} AS redeemed_channel_code",
-            f"CASE WHEN event_id % 2 = 0 THEN '{P.RECRUITMENT_COUPON_CODE}' ELSE '{OTHER_COUPON_CODE}' END AS coupon_code",
-            f"'{P.COUPON_STATUS_REDEEMED}' AS coupon_status_code",
-        )
-
-        (store_dist,) = probe.result()
 
     purchases = ev.where("event_type = 'purchase'")
-    first_purchase = purchases.groupBy("user_id").agg(F.expr("min(event_id) AS first_event_id"))
+    first_purchase = purchases.groupBy("user_id").agg(F.min("event_id").alias("first_event_id"))
+    store_dist = phy_store.selectExpr("lego_store_code AS _store", "distributor AS distributor_name")
     member_order_detail = (
-        purchases.selectExpr("*", f"{_store('k')} AS _store")
+        purchases.selectExpr("*", "concat('S', CAST(store_no AS STRING)) AS _store")
         .join(first_purchase, "user_id", "left")
         .join(store_dist, "_store", "left")
         .selectExpr(
-            "CAST(user_id AS STRING) AS crm_member_id",
+            f"CASE WHEN event_id % 61 = 9 THEN NULL WHEN event_id % 9 = 4 THEN {_padded('user_id', 10)} "
+            "ELSE CAST(user_id AS STRING) END AS crm_member_id",
             "to_date(ts) AS date_id",
             "_store AS lego_store_code",
             "CAST(event_id div 2 AS STRING) AS original_order_id",
@@ -127,7 +136,8 @@ def sources(spark: SparkSession, sf_dir: str) -> Sources:
             f"CASE WHEN event_id = first_event_id THEN '{P.LIFECYCLE_FIRST_ORDER}' "
             f"ELSE '{LIFECYCLE_REPEAT}' END AS initial_vs_repurchase_lifecycle",
             "CASE WHEN event_id % 11 = 0 THEN -1 ELSE 1 END AS sales_qty",
-            "CAST(value AS DECIMAL(18,2)) AS order_rrp_amt",
+            "CAST(CASE WHEN event_id % 41 = 3 THEN NULL WHEN event_id % 17 = 2 THEN -value ELSE value END AS DECIMAL(18,2)) "
+            "AS order_rrp_amt",
         )
     )
 

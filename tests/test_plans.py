@@ -9,6 +9,7 @@ import tempfile
 import pytest
 
 from storelift import Params, Sources, campaign_performance, in_store_activity
+from storelift.operators.rollups import daily_net_sales
 from storelift.plans.reports import attributed_groups
 from storelift.sources.schemas import SCHEMAS
 from tests.fixtures import golden_rows
@@ -47,15 +48,48 @@ def scans_of(plan: str, table: str) -> int:
 
 
 def test_order_fact_read_once(file_sources):
-    # The attributed groups are the checkpointed part of the main report.
+    # The attributed groups are the stored part of the main report.
     plan = final_part(executed_plan(attributed_groups(file_sources, P)))
     assert scans_of(plan, "member_order_detail") == 1
-    # Reservation fact: the participation rows, and a pruned read for the
-    # distinct visit keys (Catalyst drops the member and coupon joins there).
-    assert scans_of(plan, "campaign_reservation") <= 2
+    # Reservation fact: the participation rows, and a three-column read for
+    # the distinct visit keys, which joins no member.
+    assert scans_of(plan, "campaign_reservation") == 2
+    assert scans_of(plan, "member_detail") == 1
+    assert scans_of(plan, "coupon_benefit") == 1
 
 
-def test_report_reads_checkpoint_not_sources(file_sources):
+def test_no_set_collection(file_sources):
+    for df in (attributed_groups(file_sources, P), in_store_activity(file_sources, P)):
+        plan = final_part(executed_plan(df))
+        assert "ObjectHashAggregate" not in plan and "collect_set" not in plan
+
+
+def test_shuffles_bounded(spark, file_sources):
+    """With the lookups broadcast and every other join shuffled: exchanges of
+    the groups, and of the report after them."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = P
+        groups = final_part(executed_plan(attributed_groups(file_sources, p)))
+        report = final_part(executed_plan(campaign_performance(file_sources, p)))
+        sales = final_part(executed_plan(daily_net_sales(file_sources.member_order_detail, p)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    count = lambda plan: len(re.findall(r"(?<!Reused)Exchange hashpartitioning", plan))
+    assert count(groups) <= 13 and count(report) <= 9 and count(sales) == 1
+
+
+def test_store_filter_below_the_first_exchange(file_sources):
+    plan = final_part(executed_plan(attributed_groups(file_sources, P)))
+    lines = plan.splitlines()
+    scan = next(i for i, ln in enumerate(lines) if "FileScan parquet" in ln and "member_order_detail]" in ln)
+    above = [ln for ln in lines[:scan] if "LeftSemi" in ln or "Exchange hashpartitioning(crm_member_id" in ln]
+    assert "LeftSemi" in above[-1], above
+
+
+def test_report_reads_stored_groups_not_sources(file_sources):
     plan = final_part(executed_plan(campaign_performance(file_sources, P)))
     assert scans_of(plan, "member_order_detail") == 0
     # Only the reservation counts still read the reservation fact.
@@ -63,8 +97,8 @@ def test_report_reads_checkpoint_not_sources(file_sources):
 
 
 def test_no_expand_cartesian_or_python(file_sources):
-    no_ckpt = Params(batch_ts=P.batch_ts, checkpoint_groups=False)
-    for df in (campaign_performance(file_sources, no_ckpt), in_store_activity(file_sources, P),
+    inline = Params(batch_ts=P.batch_ts, store_groups=False)
+    for df in (campaign_performance(file_sources, inline), in_store_activity(file_sources, P),
                attributed_groups(file_sources, P)):
         plan = final_part(executed_plan(df))
         for bad in ("Expand", "CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
@@ -85,23 +119,25 @@ def test_filters_and_columns_pushed_to_scan(spark, file_sources):
     assert schema.count(":") == 10
 
 
-def test_reports_read_the_checkpoint(file_sources):
+def test_reports_read_the_stored_groups(file_sources):
     plan = final_part(executed_plan(campaign_performance(file_sources, P)))
-    # base_0, base_7 and base_30 each read the checkpointed groups once.
-    assert plan.count("Scan ExistingRDD") == 3
+    # base_0 reads the groups; the two window joins read the window report.
+    assert len(re.findall(r"FileScan parquet [^\n]*attributed-groups", plan)) == 1
+    assert len(re.findall(r"FileScan parquet [^\n]*window-report", plan)) == 2
 
 
-def test_broadcast_only_below_the_bound(spark):
-    from storelift.functions.broadcast import bounded_broadcasts
+def test_broadcast_only_below_the_bytes(spark):
+    from storelift.functions.broadcast import broadcast_if_small, estimated_bytes
 
     small = spark.range(5).withColumnRenamed("id", "k")
-    large = spark.range(50).withColumnRenamed("id", "k")
+    large = spark.range(50_000).withColumnRenamed("id", "k")
+    bound = 1000
+    assert estimated_bytes(small) <= bound < estimated_bytes(large)
     fact = spark.range(1000).selectExpr("id % 50 AS k")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        b_small, b_large = bounded_broadcasts([small, large], max_rows=10)
-        plan_small = fact.join(b_small, "k")._jdf.queryExecution().executedPlan().toString()
-        plan_large = fact.join(b_large, "k")._jdf.queryExecution().executedPlan().toString()
+        plan_small = fact.join(broadcast_if_small(small, bound), "k")._jdf.queryExecution().executedPlan().toString()
+        plan_large = fact.join(broadcast_if_small(large, bound), "k")._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in plan_small

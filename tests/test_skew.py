@@ -62,7 +62,7 @@ def skew_session(spark):
 def test_hot_member_join_is_split(skew_session):
     spark = skew_session
     src = Sources.from_rows(spark, skewed_rows())
-    p = Params(batch_ts=dt.datetime(2024, 4, 1), broadcast_max_rows=0)
+    p = Params(batch_ts=dt.datetime(2024, 4, 1), broadcast_max_bytes=0)
     df = participations(src, p, "main")
     rows = df.collect()
     plan = re.sub(r"#\d+", "", df._jdf.queryExecution().executedPlan().toString())
@@ -77,7 +77,7 @@ def test_hot_member_join_is_split(skew_session):
 def test_hot_member_report_right(skew_session):
     spark = skew_session
     src = Sources.from_rows(spark, skewed_rows(3000, 11))
-    p = Params(batch_ts=dt.datetime(2024, 4, 1), broadcast_max_rows=0)
+    p = Params(batch_ts=dt.datetime(2024, 4, 1), broadcast_max_bytes=0)
     con = duck_from_sources(src)
     oq = oracle_sql.oracle_queries(with_roles=False)
     assert compare(in_store_activity(src, p), con, oq["in_store_activity"]) == []

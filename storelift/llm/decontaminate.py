@@ -330,14 +330,19 @@ def leaked_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     return out
 
 
+def _holds_none(index: Index):
+    """A column function: whether a text holds none of the index's items."""
+
+    @F.pandas_udf("boolean")
+    def clean(text: pd.Series) -> pd.Series:
+        bad = {row[0] for row in leaks(index, list(text))}
+        return pd.Series([i not in bad for i in range(len(text))], dtype=bool)
+
+    return clean
+
+
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no item is leaked, with all columns."""
-    built = indexes(items)
-    keep = F.lit(True)
-    for index in built:
-        @F.pandas_udf("boolean")
-        def clean(text: pd.Series, index: Index = index) -> pd.Series:
-            bad = {row[0] for row in leaks(index, list(text))}
-            return pd.Series([i not in bad for i in range(len(text))])
-        keep = keep & clean(F.col("text"))
-    return docs.where(keep) if built else docs
+    for index in indexes(items):
+        docs = docs.where(_holds_none(index)(F.col("text")))
+    return docs

@@ -1,0 +1,47 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from storelift.llm import mixing, queries
+from storelift.llm.oracle import ORACLE_SQL
+from tests.compare import compare, duck_connect
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_against_oracle(spark):
+    assert compare(queries.op10_mixing(spark, SF), duck_connect(SF), ORACLE_SQL["op10_mixing"], exact=True) == []
+
+
+def test_marginals_meet_their_targets(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    cells = mixing.rake(mixing.cells_of(mixing.with_cell(docs))).toPandas()
+    for dim in mixing.DIMENSIONS:
+        got = cells.groupby(dim)["weight"].sum()
+        want = cells.groupby(dim)[f"target_{dim}"].first()
+        assert (got - want).abs().max() < 1e-9
+
+
+def test_expected_tokens(spark):
+    mixed = mixing.mix(spark.read.parquet(f"{SF}/documents.parquet"))
+    kept, all_ = mixed.agg(F.sum(F.col("n_tokens") * F.col("probability")), F.sum("n_tokens")).first()
+    assert kept / all_ == pytest.approx(mixing.KEEP_SHARE, abs=1e-9)
+
+
+def test_native(spark):
+    plan = mixing.mix(spark.read.parquet(f"{SF}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_odd_rows(odd_documents, no_documents):
+    rows = mixing.mix(odd_documents).collect()
+    assert len(rows) == 12
+    by_id = {r.doc_id: r for r in rows}
+    for d in (3, 4, 5):
+        assert by_id[d].n_tokens == 0 and by_id[d].probability == 0 and not by_id[d].sampled
+    assert by_id[3].source == "" and by_id[3].lang == ""
+    kept = mixing.sample(odd_documents.withColumns({"topic": F.lit("x"), "probability": F.lit(2.0), "n_tokens": F.lit(1)}))
+    assert kept.columns == [*odd_documents.columns, "topic", "probability", "n_tokens"]
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in rows if r.sampled)
+    assert mixing.mix(no_documents).count() == 0 and mixing.sample(no_documents).count() == 0

@@ -23,6 +23,9 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Groupings that reuse a join's partitioning would keep a hot key's join
+    # whole; forced, it is split and only then costs one more exchange.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     # Call-site capture for error messages costs a Python stack walk per

@@ -47,7 +47,7 @@ def test_probabilities_add_up(spark):
     # A tail class spreads its mass over its words and one unknown.
     words = counts.toPandas()
     tails = words[~words.word.isin(vocabulary.head.view(np.int64))]
-    share = (tails.c + 1).groupby(tails.tail).sum().reindex(range(lm.TAIL), fill_value=0).to_numpy() + 1
+    share = (tails["c"] + 1).groupby(tails["tail"]).sum().reindex(range(lm.TAIL), fill_value=0).to_numpy() + 1
     inside = share / (vocabulary.tail_tokens + vocabulary.tail_words + 1)
     assert abs((p[: lm.HEAD].sum() + (p[lm.HEAD :] * inside).sum()) - 1) < 1e-4
 

@@ -14,9 +14,10 @@ passage's distinct words are the query.  Retrieval returns all items scoring
 at least ``RETRIEVE_SHARE``:
 
 * The frequent words are set aside as far as no item's score can come from
-  them alone; passages whose remaining words cannot make up the rest are
-  passed over by one vectorised sum of the words' largest impacts.  This is
-  WAND's pivot test over a whole passage, and loses nothing.
+  them alone.  For many passages at once, the other words' impacts are added up
+  item by item; passages in which no item can reach the threshold, even with
+  all of its words set aside, are passed over.  This is the upper-bound test of WAND with bounds by item,
+  and loses nothing.
 * The other passages run document-at-a-time: cursors over the posting lists,
   a pivot from the lists' largest impacts, a second test with the impacts of
   the posting blocks around the pivot (block-max), full scores last.
@@ -55,7 +56,7 @@ SHINGLE = 5
 ITEMS_PER_INDEX = 20_000
 POSTINGS_PER_BLOCK = 64
 #: Of the threshold, the most that words set aside may reach together.
-ASIDE_SHARE = 0.8
+ASIDE_SHARE = 0.6
 _SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n")
 
 
@@ -81,7 +82,7 @@ class Index:
     top: np.ndarray = field(init=False)  # largest impact of each word
     blocks: list[tuple[np.ndarray, np.ndarray]] = field(init=False)  # last item and largest impact of each posting block
     aside: np.ndarray = field(init=False)  # words set aside
-    need: float = field(init=False)  # what the other words must reach
+    need: np.ndarray = field(init=False)  # what the other words of each item must reach
 
     def __post_init__(self):
         n = len(self.words)
@@ -101,11 +102,11 @@ class Index:
                 break
             sums[self.items[a:b]] = more
             self.aside[w] = True
-        self.need = RETRIEVE_SHARE - (sums.max() if len(sums) else 0.0) - 1e-9
+        self.need = RETRIEVE_SHARE - sums - 1e-9
         shingles = [shingle_hashes(w, np.array([0, len(w)]), SHINGLE)[0] for w in self.item_words]
         self.shingles = shingles
         rare = np.flatnonzero(~self.aside)
-        self.rare_words, self.rare_top = self.words[rare], self.top[rare]
+        self.rare, self.rare_words = rare, self.words[rare]
         self.rare_bits = np.zeros(1 << 16, bool)
         self.rare_bits[(self.rare_words >> np.uint64(48)).astype(np.int64)] = True
 
@@ -272,36 +273,63 @@ def _passage_shingles(words: np.ndarray, length: int) -> np.ndarray:
                                     [np.empty(0, np.uint64)]))
 
 
+def _possible(index: Index, words: np.ndarray, first: np.ndarray, cell: np.ndarray, passages: np.ndarray) -> np.ndarray:
+    """Passages in which some item may reach the threshold.
+
+    Texts are cut into cells of one item length; passage i of a text is its
+    cells i and i + 1.  ``cell`` is the first cell of each text (one entry
+    more), ``passages`` the number of its passages; returned are numbers
+    cell + i."""
+    near = np.flatnonzero(index.rare_bits[(words >> np.uint64(48)).astype(np.int64)])
+    if not len(index.rare_words) or not len(near):
+        return np.empty(0, np.int64)
+    at = np.minimum(np.searchsorted(index.rare_words, words[near]), len(index.rare_words) - 1)
+    same = index.rare_words[at] == words[near]
+    near, word = near[same], at[same]
+    text = np.searchsorted(first, near, "right") - 1
+    inside = (near - first[text]) // index.longest
+    # Distinct (passage, word): a cell's words are in its own passage and the one before.
+    m, n = len(index.rare_words), len(index.item_ids)
+    pairs = []
+    for shift in (0, 1):
+        i = inside - shift
+        ok = (i >= 0) & (i < passages[text])
+        pairs.append((cell[text[ok]] + i[ok]) * m + word[ok])
+    pair = np.unique(np.concatenate(pairs))
+    if not len(pair):
+        return pair
+    passage, word = pair // m, index.rare[pair % m]
+    # Every posting of every word, added up by passage and item.
+    begin, count = index.first[word], index.first[word + 1] - index.first[word]
+    upto = np.cumsum(count)
+    posting = np.repeat(begin - (upto - count), count) + np.arange(upto[-1])
+    key, inverse = np.unique(np.repeat(passage, count) * n + index.items[posting], return_inverse=True)
+    total = np.bincount(inverse, index.impact[posting], len(key))
+    return np.unique(key[total >= index.need[key % n] - 1e-6] // n)
+
+
 def leaks(index: Index, texts: list[str | None]) -> Iterator[tuple[int, int, int, float, float, float, float]]:
     """(text, item, passage start, score, overlaps) of the leaked items in
     each text; of several passages with one item the best covered, then first."""
     step, span = index.longest, 2 * index.longest
     for begin, group in text_groups(texts):
         words, first = word_hashes(group)
-        if not len(words):
-            continue
-        weight = np.zeros(len(words))
-        near = np.flatnonzero(index.rare_bits[(words >> np.uint64(48)).astype(np.int64)])
-        if len(index.rare_words):
-            at = np.minimum(np.searchsorted(index.rare_words, words[near]), len(index.rare_words) - 1)
-            same = index.rare_words[at] == words[near]
-            weight[near[same]] = index.rare_top[at[same]]
-        total = np.concatenate(([0.0], np.cumsum(weight)))
-        # Passages of every text: starts each `step` words.
         n = np.diff(first)
-        per = np.where(n > 0, np.maximum(1, -(-(n - step) // step)), 0)
-        text = np.repeat(np.arange(len(n)), per)
-        starts = first[:-1][text] + step * (np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per))
-        ends = np.minimum(starts + span, first[1:][text])
+        # A passage starts at every cell but the last one (a single cell is one passage).
+        cells = -(-n // step)
+        passages = np.where(n > 0, np.maximum(1, cells - 1), 0)
+        cell = np.concatenate(([0], np.cumsum(cells)))
         best: dict[tuple[int, int], tuple] = {}
-        for p in np.flatnonzero(total[ends] - total[starts] >= index.need - 1e-6):
-            passage = words[starts[p] : ends[p]]
+        for p in _possible(index, words, first, cell, passages):
+            t = int(np.searchsorted(cell, p, "right")) - 1
+            start = int(first[t] + step * (p - cell[t]))
+            passage = words[start : min(start + span, first[t + 1])]
             for item, score in index.search(np.unique(passage)):
                 o = overlaps(index, item, _passage_shingles(passage, len(index.item_words[item])))
                 if o[0] >= OVERLAP and min(o[1], o[2]) >= PART_OVERLAP:
-                    key = (int(text[p]), item)
+                    key = (t, item)
                     if key not in best or o > best[key][2:]:
-                        best[key] = (int(starts[p] - first[text[p]]), score, *o)
+                        best[key] = (start - int(first[t]), score, *o)
         for (t, item), (start, score, *o) in sorted(best.items()):
             yield begin + t, item, start, score, *o
 

@@ -68,7 +68,7 @@ def rake(cells: DataFrame, powers: dict[str, float] = POWERS) -> DataFrame:
     The target share of a marginal value is its token count to the power of
     ``powers[dimension]``, normalised.  Cells without tokens are left out.
     """
-    cells = cells.where("tokens > 0")
+    cells = stored(cells.where("tokens > 0"), "mix-cells")
     for dim in DIMENSIONS:
         marginal = cells.groupBy(dim).agg(F.pow(F.sum("tokens").cast("double"), F.lit(powers[dim])).alias("_m"))
         total = marginal.agg(F.sum("_m")).first()[0] or 1.0

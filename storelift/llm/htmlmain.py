@@ -237,14 +237,14 @@ class Trees:
         for _ in range(ROUNDS):
             p = 1 / (1 + np.exp(-margin))
             tree, leaf = self._grow(binned, cuts, p - y, p * (1 - p))
-            margin += tree[3][leaf]
+            margin += tree[2][leaf]
             self.trees.append(tree)
 
     @staticmethod
     def _grow(binned: np.ndarray, cuts: list, g: np.ndarray, h: np.ndarray) -> tuple:
         """A complete binary tree: feature, cut and value by heap position; the rows' leaves."""
         size = 2 ** (DEPTH + 1) - 1
-        feature, cut, value = np.zeros(size, np.int64), np.full(size, np.inf), np.zeros(size)
+        feature, cut = np.zeros(size, np.int64), np.full(size, np.inf)
         at = np.zeros(len(g), np.int64)
         lam = 1.0
         for level in range(DEPTH):
@@ -273,12 +273,12 @@ class Trees:
             at = 2 * at + 1 + (binned[np.arange(len(g)), split[local, 0]] > bin_cut[local])
         leaf_g, leaf_h = np.bincount(at, g, size), np.bincount(at, h, size)
         value = -RATE * leaf_g / (leaf_h + lam)
-        return (feature, cut, None, value), at
+        return (feature, cut, value), at
 
     def margin(self, x: np.ndarray) -> np.ndarray:
         out = np.full(len(x), self.base)
         rows = np.arange(len(x))
-        for feature, cut, _, value in self.trees:
+        for feature, cut, value in self.trees:
             at = np.zeros(len(x), np.int64)
             for _ in range(DEPTH):
                 at = 2 * at + 1 + (x[rows, feature[at]] > cut[at])
@@ -290,7 +290,7 @@ def decode(page: Page, margin: np.ndarray) -> np.ndarray:
     """The most probable keep or drop of every node in which a dropped node
     has no kept descendant.  ``margin`` is the log odds of keeping."""
     n = len(page.tag)
-    keep = np.maximum(margin, -20.0).clip(max=20.0).astype(float).copy()
+    keep = margin.clip(-20.0, 20.0).astype(float)
     keep[0] = 0.0
     # Gain of keeping a subtree in its best way over dropping all of it.
     for i in range(n - 1, 0, -1):

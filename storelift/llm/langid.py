@@ -39,6 +39,7 @@ FEATURES = 2048
 SAMPLE_ROWS = 4_000
 STEPS = 150
 L2 = 1e-4
+PREDICT_ROWS = 1_000
 #: Documents scored below this by the pipeline stage are rejected, as are ``und`` ones.
 REJECT_BELOW = 0.35
 
@@ -93,12 +94,13 @@ def fit_svm(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """
     cost = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
     w = np.zeros(x.shape[1] + 1, np.float32)
-    step = 1.0 / (2 * 2.0 * float((cost[:, None] * np.ones((1, 1))).sum()) + L2)  # rows have length at most sqrt(2) with the bias
+    # Rows have length at most sqrt(2) with the bias, which bounds the curvature.
+    step = 1.0 / (4.0 * float(cost.sum()) + L2)
     ahead, t = w.copy(), 1.0
     for _ in range(STEPS):
         slack = np.maximum(0, 1 - y * (x @ ahead[:-1] + ahead[-1])) * cost
         g = -2 * y * slack
-        grad = np.append(x.T @ g, g.sum()).astype(np.float32)
+        grad = np.append(g @ x, g.sum()).astype(np.float32)
         grad[:-1] += L2 * ahead[:-1]
         new = ahead - step * grad
         t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
@@ -187,7 +189,10 @@ def predictor(model: Model):
     @F.pandas_udf("lang_pred string, score double")
     def predict(text: pd.Series) -> pd.DataFrame:
         texts = list(text)
-        lang, score = model.predict(features(texts))
+        # A batch's feature rows would be far larger than its texts: some at a time.
+        parts = [model.predict(features(texts[i : i + PREDICT_ROWS])) for i in range(0, len(texts), PREDICT_ROWS)]
+        lang = np.concatenate([p[0] for p in parts] or [np.empty(0, object)])
+        score = np.concatenate([p[1] for p in parts] or [np.empty(0)])
         none = np.array([t is None or not _LETTER.search(t) for t in texts], bool)
         lang[none], score[none] = "und", 0.0
         return pd.DataFrame({"lang_pred": lang, "score": score})

@@ -141,11 +141,10 @@ def _drop_lines(docs: pd.DataFrame, owners: pd.DataFrame) -> Iterator[tuple]:
         yield row, len(lines), len(lines) - len(kept), "\n".join(kept)
 
 
-def build_index(docs: DataFrame, n_docs: int) -> tuple[DataFrame, DataFrame, int]:
+def build_index(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     """(batch keys, index shards, number of shards)."""
     keys = stored(docs.mapInPandas(_batch_keys, "batch long, h1 long, h2 long, first long, last long")
-                      .groupBy("batch", "h1", "h2").agg(F.min("first").alias("first"), F.max("last").alias("last"),
-                                                         ), "line-keys")
+                      .groupBy("batch", "h1", "h2").agg(F.min("first").alias("first"), F.max("last").alias("last")), "line-keys")
     repeated = stored(keys.groupBy("h1", "h2")
                           .agg(F.min("first").alias("owner"), F.max("last").alias("last"), F.count("*").alias("docs"))
                           .where("owner < last").drop("last"), "line-repeats")
@@ -166,7 +165,7 @@ def dedup_lines(docs: DataFrame, digest: bool = False) -> DataFrame:
     dealt = docs.select(
         "doc_id", F.coalesce("doc_id", F.lit(int(_NULL_ID))).alias("doc"), "text",
         F.pmod(F.xxhash64("doc_id"), F.lit(n_batches)).alias("batch"))
-    keys, index, n_shards = build_index(dealt.select("batch", "doc", "text"), n_docs)
+    keys, index, n_shards = build_index(dealt.select("batch", "doc", "text"))
     asked = keys.select(F.pmod("h2", F.lit(n_shards)).alias("shard"), "batch", "h1", "h2")
     owners = (index.groupBy("shard").cogroup(asked.groupBy("shard"))
                    .applyInPandas(_probe, "batch long, h1 long, h2 long, owner long"))

@@ -58,7 +58,7 @@ END_ID = 0
 SEGMENT_IDS = 2_000_000
 ROWS_PER_SHARD = 5_000
 #: Distinct pieces a worker keeps; the cache starts afresh beyond it.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 250_000
 
 SEGMENT_SCHEMA = ("shard int, seq int, first_key long, last_key long, n_docs int, n_ids long, id_bytes int, "
                   "payload binary, ends binary, n_null int, keys binary, mph binary, prints binary, rows binary")

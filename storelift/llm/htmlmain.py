@@ -40,6 +40,8 @@ from .htmltree import Page, read_page
 
 SAMPLE_PAGES = 400
 ROUNDS, DEPTH, RATE, BINS = 60, 4, 0.2, 32
+#: Pages whose nodes go through the trees together.
+PAGES_AT_ONCE = 200
 
 # Words that name the parts of a page in tags, classes and roles.
 CONTENT_TAGS = frozenset("article main".split())
@@ -303,9 +305,20 @@ def decode(page: Page, margin: np.ndarray) -> np.ndarray:
     return out
 
 
+def main_texts(pages: list[Page], model: Trees) -> list[str]:
+    """The main text of each page; the trees run over all their nodes at once."""
+    if not pages:
+        return []
+    margin = model.margin(np.concatenate([node_features(p) for p in pages]))
+    out = []
+    for page, own in zip(pages, np.split(margin, np.cumsum([len(p.tag) for p in pages])[:-1])):
+        kept = decode(page, own)
+        out.append("\n".join(t for i, t in zip(page.block_node, page.block_text) if kept[i]))
+    return out
+
+
 def main_text(page: Page, model: Trees) -> str:
-    kept = decode(page, model.margin(node_features(page)))
-    return "\n".join(t for i, t in zip(page.block_node, page.block_text) if kept[i])
+    return main_texts([page], model)[0]
 
 
 def fit(pages: DataFrame) -> Trees:
@@ -347,7 +360,10 @@ def extract(pages: DataFrame) -> DataFrame:
 
     @F.pandas_udf("string")
     def text(source: pd.Series) -> pd.Series:
-        return pd.Series([main_text(read_page(s), model) if s else "" for s in source], dtype=object)
+        out: list[str] = []
+        for i in range(0, len(source), PAGES_AT_ONCE):
+            out += main_texts([read_page(s) for s in source.iloc[i : i + PAGES_AT_ONCE]], model)
+        return pd.Series(out, dtype=object)
 
     return (pages.select("page_id", "url", text("html").alias("text"))
                  .withColumn("n_chars", F.char_length("text").cast("long")))

@@ -11,11 +11,13 @@ Probabilities add up to one over the training vocabulary and "unknown".
 
 Network.  One gated recurrent layer reads the class (tail) or word (head) of the
 previous token.  Output biases start at the corpus frequencies.  Every training
-document gives ``WINDOWS`` consecutive windows from a place drawn by a hash of
-its id; gradients are truncated at the window, the state is carried into the
-next one.  Tasks train in parallel on their own documents, and their weights
-are averaged by the number of windows, in ``ROUNDS`` rounds of which each takes
-another part of the documents; training work grows with the corpus.
+document is learned from its first token to its last, once: window by window,
+with gradients truncated at the window and the state carried into the next one.
+Up to ``TRAIN_ROWS`` documents run side by side; where one ends, the next takes
+its row with an empty state.  Tasks train in parallel on their own documents,
+and their weights are averaged by the number of tokens, in ``ROUNDS`` rounds of
+which each takes another part of the documents; training work grows with the
+number of tokens.
 
 Scoring.  The documents of a batch are run side by side, window by window, with
 the state carried to the end of each document.  Counts come from the whole
@@ -33,6 +35,7 @@ and text are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -45,7 +48,7 @@ from .words import word_hashes, word_suffixes
 
 HEAD, CLASS_WORDS, TAIL = 1024, 32, 32
 EMBED, HIDDEN = 16, 16
-WINDOW, WINDOWS, ROUNDS = 32, 2, 2
+WINDOW, ROUNDS = 32, 2
 TRAIN_ROWS, SCORE_ROWS = 128, 512
 RATE = 0.02
 BATCH_DOCS = 6_000
@@ -126,6 +129,13 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True)
+    return x
+
+
 class Network:
     """The gated recurrent model; parameters live in one flat vector."""
 
@@ -192,7 +202,7 @@ class Network:
         s, target, valid = states.reshape(-1, HIDDEN), y.ravel(), mask.ravel()
         klass = np.where(target < HEAD, target // CLASS_WORDS, target - HEAD + _HEAD_CLASSES)
         scale = 1 / max(1, int(valid.sum()))
-        p = np.exp(_log_softmax(s @ self.wc + self.bc))
+        p = _softmax(s @ self.wc + self.bc)
         p[np.arange(len(p)), klass] -= 1
         p *= (valid * scale)[:, None]
         grad.wc[:], grad.bc[:] = s.T @ p, p.sum(axis=0)
@@ -203,80 +213,99 @@ class Network:
             own = order[bounds[k] : bounds[k + 1]]
             own = own[valid[own]]
             if len(own):
-                q = np.exp(_log_softmax(s[own] @ self.wv[k] + self.bv[k]))
+                q = _softmax(s[own] @ self.wv[k] + self.bv[k])
                 q[np.arange(len(own)), target[own] - k * CLASS_WORDS] -= 1
                 q *= scale
                 grad.wv[k], grad.bv[k] = s[own].T @ q, q.sum(axis=0)
                 ds[own] += q @ self.wv[k].T
         ds = ds.reshape(steps, rows, HIDDEN)
         dh = np.zeros((rows, HIDDEN), np.float32)
-        dtable = np.zeros((HEAD + TAIL, 3 * HIDDEN), np.float32)
+        gates, inner = np.empty((2, steps, rows, 3 * HIDDEN), np.float32)
         for t in range(steps - 1, -1, -1):
             h0, z, r, n, hn = kept[t]
             dh = dh + ds[t]
             dn = dh * (1 - z) * (1 - n * n)
             dz = dh * (h0 - n) * z * (1 - z)
             dr = dn * hn * r * (1 - r)
-            gates = np.concatenate((dz, dr, dn), axis=1)
-            np.add.at(dtable, x[t], gates)
-            inner = np.concatenate((dz, dr, dn * r), axis=1)
-            grad.u += h0.T @ inner
-            grad.b += gates.sum(axis=0)
-            dh = dh * z + inner @ self.u.T
+            gates[t] = np.concatenate((dz, dr, dn), axis=1)
+            inner[t] = np.concatenate((dz, dr, dn * r), axis=1)
+            dh = dh * z + inner[t] @ self.u.T
+        before = np.concatenate([k[0] for k in kept])
+        grad.u[:] = before.T @ inner.reshape(-1, 3 * HIDDEN)
+        gates = gates.reshape(-1, 3 * HIDDEN)
+        grad.b[:] = gates.sum(axis=0)
+        dtable = np.zeros((HEAD + TAIL, 3 * HIDDEN), np.float32)
+        by_input = np.argsort(x.ravel(), kind="stable")
+        seen, first = np.unique(x.ravel()[by_input], return_index=True)
+        dtable[seen] = np.add.reduceat(gates[by_input], first, axis=0)
         grad.embed[:] = dtable @ self.wx.T
         grad.wx[:] = self.embed.T @ dtable
         return grad.flat, states[-1]
 
 
 def _train(net: Network, vocabulary: Vocabulary, batches: Iterator[pd.DataFrame]) -> tuple[np.ndarray, int]:
-    """Adam steps over one task's documents; weights and number of windows."""
-    m, v, step, windows = np.zeros_like(net.flat), np.zeros_like(net.flat), 0, 0
-    span, end = WINDOW * WINDOWS, vocabulary.end
-    for pdf in batches:
-        drawn = []
-        for begin, group in text_groups(list(pdf["text"])):
-            words, tails, at = tokens(group)
-            ids = vocabulary.ids(words, tails)
-            for i in range(len(group)):
-                a, b = at[i], at[i + 1]
-                # The place is drawn among the window starts of the document.
-                a += WINDOW * (int(pdf["draw"].iloc[begin + i]) % max(1, -(-(b - a) // WINDOW) - WINDOWS + 1))
-                previous = end if a == at[i] else ids[a - 1]
-                drawn.append(np.concatenate(([previous], ids[a : min(b, a + span)])))
-        for i in range(0, len(drawn), TRAIN_ROWS):
-            rows = drawn[i : i + TRAIN_ROWS]
-            table = np.full((len(rows), span + 1), end, np.int64)
-            for j, row in enumerate(rows):
-                table[j, : len(row)] = row
+    """Adam steps over the whole of one task's documents; weights and number of tokens.
+
+    When few documents are left, windows hold few tokens; a step waits until
+    its windows together hold half of a full one's, or the documents end.
+    """
+    m, v, step, learned = np.zeros_like(net.flat), np.zeros_like(net.flat), 0, 0
+    end = vocabulary.end
+    grad, held = np.zeros_like(net.flat), 0
+    h = np.zeros((0, HIDDEN), np.float32)
+    rows: list[np.ndarray] = []  # what is left of each running document, after the token read last
+
+    def documents() -> Iterator[np.ndarray]:
+        for pdf in batches:
+            for _, group in text_groups(list(pdf["text"])):
+                words, tails, at = tokens(group)
+                ids = vocabulary.ids(words, tails).astype(np.int16)
+                for a, b in zip(at[:-1], at[1:]):
+                    yield np.concatenate(([end], ids[a:b])).astype(np.int16)
+
+    waiting = documents()
+    while True:
+        new = list(islice(waiting, TRAIN_ROWS - len(rows)))
+        rows += new
+        h = np.concatenate((h, np.zeros((len(new), HIDDEN), np.float32)))
+        if rows:
             length = np.array([len(r) - 1 for r in rows])
-            h = np.zeros((len(rows), HIDDEN), np.float32)
-            for w in range(0, span, WINDOW):
-                mask = (np.arange(w, w + WINDOW)[:, None] < length[None, :])
-                if not mask.any():
-                    break
-                grad, h = net.gradient(table[:, w : w + WINDOW].T, table[:, w + 1 : w + WINDOW + 1].T, mask, h)
-                step += 1
-                windows += 1
-                m += 0.1 * (grad - m)
-                v += 0.01 * (grad * grad - v)
-                net.flat -= RATE / np.sqrt(1 + step / 50) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
-    return net.flat, windows
+            table = np.full((len(rows), WINDOW + 1), end, np.int64)
+            for j, row in enumerate(rows):
+                part = row[: WINDOW + 1]
+                table[j, : len(part)] = part
+            mask = np.arange(WINDOW)[:, None] < length[None, :]
+            own, h = net.gradient(table[:, :-1].T, table[:, 1:].T, mask, h)
+            n = int(mask.sum())
+            grad += own * n
+            held += n
+            learned += n
+            live = np.flatnonzero(length > WINDOW)
+            rows, h = [rows[j][WINDOW:] for j in live], h[live]
+        if held >= TRAIN_ROWS * WINDOW // 2 or (held and not rows and not new):
+            grad /= held
+            step += 1
+            m += 0.1 * (grad - m)
+            v += 0.01 * (grad * grad - v)
+            net.flat -= RATE / np.sqrt(1 + step / 50) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
+            grad[:], held = 0, 0
+        if not rows and not new:
+            return net.flat, learned
 
 
 def fit(docs: DataFrame, vocabulary: Vocabulary) -> Network:
     """Train on ``docs`` (doc_id, text) by rounds of parallel descent."""
     net = Network.start(vocabulary)
-    draw = F.xxhash64("doc_id", F.lit(3))
     for part in range(ROUNDS):
         flat = net.flat
 
         def train(batches: Iterator[pd.DataFrame], flat: np.ndarray = flat) -> Iterator[pd.DataFrame]:
-            weights, windows = _train(Network(flat.copy()), vocabulary, batches)
-            if windows:
-                yield pd.DataFrame({"i": np.arange(len(weights), dtype=np.int32), "v": weights.astype(np.float64) * windows, "n": windows})
+            weights, learned = _train(Network(flat.copy()), vocabulary, batches)
+            if learned:
+                yield pd.DataFrame({"i": np.arange(len(weights), dtype=np.int32), "v": weights.astype(np.float64) * learned, "n": learned})
 
         own = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(ROUNDS)) == part)
-        mean = (own.select("text", F.pmod(draw, F.lit(1 << 30)).alias("draw")).mapInPandas(train, "i int, v double, n long")
+        mean = (own.select("text").mapInPandas(train, "i int, v double, n long")
                    .groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).collect())
         if mean:
             flat = np.empty(len(net.flat), np.float32)

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 
 from storelift.llm import lm, queries
 
@@ -94,3 +95,29 @@ def test_odd_rows(odd_documents, no_documents):
     assert lm.score(no_documents).count() == 0
     alone = odd_documents.where("doc_id IN (1, 2)")
     assert all(g.score <= 0 for g in lm.score(alone).collect())
+
+
+def test_training_learns_every_token_with_the_state_carried(spark, monkeypatch):
+    """Each token of each document is a target once; windows of a document go on from its last state."""
+    texts = [" ".join(f"w{(i * k) % 50}" for i in range(n)) for k, n in enumerate((700, 3, 64, 65, 31, 32, 500, 0), 1)]
+    vocabulary = lm.Vocabulary(lm.word_counts(spark.createDataFrame([(t,) for t in texts], "text string")))
+    seen, carried = Counter(), []
+    plain_gradient = lm.Network.gradient
+
+    def gradient(self, x, y, mask, h):
+        seen.update(y[mask].tolist())
+        carried.append(h.copy())
+        grad, last = plain_gradient(self, x, y, mask, h)
+        states.append(last)
+        return grad, last
+
+    states = []
+    monkeypatch.setattr(lm.Network, "gradient", gradient)
+    monkeypatch.setattr(lm, "TRAIN_ROWS", 3)
+    pdf = pd.DataFrame({"text": texts, "draw": np.arange(len(texts))})
+    _, learned = lm._train(lm.Network.start(vocabulary), vocabulary, iter([pdf[:5], pdf[5:]]))
+    words, tails, _ = lm.tokens([t.encode() for t in texts])
+    assert seen == Counter(vocabulary.ids(words, tails).tolist()) and learned == len(words)
+    for last, h in zip(states, carried[1:]):
+        assert all(not row.any() or (row == last).all(axis=1).any() for row in h)
+    assert any(h.any() for h in carried)

@@ -7,7 +7,8 @@ tree to the strings that share its prefix, found by binary search, and counts
 the matches for every prefix length.  The prefix length then ascends
 synchronously in all trees, from the longest, until the trees together hold
 enough matches (``MIN_MATCHES`` and ``MATCH_SHARE`` of all vectors, repeats
-counted); those candidates are scored exactly.
+counted); those candidates are scored in double precision, all that the last
+place can go to, ties included.
 
 Two passes over the same buckets: counts first (summed over trees to fix each
 query's prefix length), candidates second (each bucket scores its own and
@@ -19,7 +20,8 @@ A bucket is split by salt so that no task holds more than about
 
 Equal vectors form one class and are indexed once.  A class answers with its
 smallest ids, one more than the neighbours asked for; larger ids of the same
-class can never be among the nearest, because ties go to smaller ids.
+class can never be among the nearest, because ties go to smaller ids.  Classes
+are numbered by their smallest id, and every cut breaks ties by that number.
 
 The share is set for vectors without structure, for which hashing gains
 little: with 32 trees, 0.6 of all matches scan about half of the vectors and
@@ -174,7 +176,9 @@ class Forest:
             codes, reps = rows["code"].to_numpy(), rows["rep"].to_numpy()
             x = np.stack([np.frombuffer(b, np.float64) for b in rows["x"]])
             unit = x / np.abs(x).max(axis=1, keepdims=True)
-            unit = (unit / np.sqrt((unit * unit).sum(axis=1, keepdims=True))).astype(np.float32)
+            unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
+            # Twice the largest difference of a product of unit rows from the exact cosine.
+            slack = 4 * (x.shape[1] + 8) * np.finfo(np.float64).eps
             out = []
             shift = bits - asked["level"].to_numpy(np.int64)
             lo_code = (asked["code"].to_numpy() >> shift) << shift
@@ -185,13 +189,13 @@ class Forest:
                 for part in np.array_split(members, -(-len(members) * (b - a) // 4_000_000) or 1) if b > a else ():
                     q = np.stack([np.frombuffer(asked["x"].iloc[i], np.float64) for i in part])
                     qu = q / np.abs(q).max(axis=1, keepdims=True)
-                    qu = (qu / np.sqrt((qu * qu).sum(axis=1, keepdims=True))).astype(np.float32)
+                    qu /= np.sqrt((qu * qu).sum(axis=1, keepdims=True))
                     near = qu @ unit[a:b].T
-                    # Single precision only preselects, with room to spare.
-                    take = min(b - a, best + 10)
-                    top = np.argpartition(-near, take - 1, axis=1)[:, :take]
+                    # The product preselects: every row that can be among the best, ties included.
+                    take = min(b - a, best)
+                    least = np.partition(near, b - a - take, axis=1)[:, b - a - take] - slack
                     for j, i in enumerate(part):
-                        at = a + top[j]
+                        at = a + np.flatnonzero(near[j] >= least[j])
                         s = _cosines(x[at], np.broadcast_to(q[j], (len(at), q.shape[1])))
                         first = np.lexsort((reps[at], -s))[:best]
                         out.append(pd.DataFrame({"query": asked["rep"].iloc[i], "rep": reps[at][first], "score": s[first]}))
@@ -213,7 +217,8 @@ def nearest(vectors: DataFrame, neighbours: int = NEIGHBOURS, query_step: int =
     classes = stored(rows.dropDuplicates(["vec_id", "k1", "k2"]).withColumn("place", F.row_number().over(same))
                          .where(F.col("place") <= members_kept), "ann-classes")
     spark = vectors.sparkSession
-    index = stored(classes.where("place = 1").select(
+    # Numbers in the order of the classes' smallest ids, so that every cut breaks ties as the result does.
+    index = stored(classes.where("place = 1").orderBy("vec_id", "k1", "k2").select(
         F.monotonically_increasing_id().alias("rep"), "embedding", "k1", "k2",
         F.pmod(F.xxhash64("k1"), F.lit(1 << 31)).alias("salt0")), "ann-index")
     n = index.count()

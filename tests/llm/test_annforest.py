@@ -77,3 +77,31 @@ def test_odd_vectors(spark):
     assert sorted(lists) == [0, 50, 100]
     assert sorted(lists[0]) == [(1, 1, 1.0), (2, 50, 0.707106781), (3, 2, 0.0), (4, 100, -1.0)]
     assert annforest.nearest(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_cluster_of_near_copies(spark):
+    """Different vectors whose cosines single precision cannot tell apart."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=64) + 1e-4 * rng.normal(size=(3000, 64))
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    found = {}
+    for r in annforest.nearest(docs, query_step=500, trees=4, min_matches=12_000, match_share=0.0).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    for q in range(0, 3000, 500):
+        gap = ((unit - unit[q]) ** 2).sum(axis=1)
+        assert [v for _, v in sorted(found[q])] == [v for v in np.argsort(gap, kind="stable") if v != q][:5]
+
+
+def test_many_classes_at_one_cosine(spark):
+    """Rescaled vectors are classes of their own; the smaller ids win all cuts."""
+    rng = np.random.default_rng(9)
+    ids = rng.permutation(400)
+    x = [(np.array([1.0, -1.0, 1.0, 1.0]) * (i + 1)).tolist() for i in range(400)]
+    rows = [(int(i), v) for i, v in zip(ids, x)] + [(1000 + i, rng.normal(size=4).tolist()) for i in range(200)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    found = {}
+    for r in annforest.nearest(docs, query_step=100).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    for q in (0, 100, 200, 300):
+        assert [v for _, v in sorted(found[q])] == [v for v in range(7) if v != q][:5]

@@ -6,6 +6,13 @@ elements and line breaks do not end a block.  The content of scripts, styles
 and the like is dropped, character references are decoded, and white space in a
 block becomes one space.  Unclosed and stray tags are closed and ignored as
 browsers do in the common cases (paragraphs, list items, table parts).
+
+Only elements whose content HTML reads as plain characters (scripts, styles,
+titles) run to the end of the page when unclosed.  Graphics and media are
+dropped up to their own end tag; a start tag without one drops nothing.  An
+open head ends at the first text or element of the body.  Objects and noscript
+elements are nodes, except inside a paragraph, heading or inline element;
+formulas are inline.
 """
 
 from __future__ import annotations
@@ -20,9 +27,18 @@ BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table "
     "tbody td tfoot th thead tr ul caption".split())
 VOID = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg math object canvas audio video".split())
+RAW = frozenset("script style textarea title xmp noembed noframes".split())
+# Dropped up to their own end tag, if they have one.
+EMBEDDED = frozenset("template svg canvas audio video iframe".split())
 # Elements whose content is never text of the page: dropped with everything inside.
 SILENT = RAW | {"head", "select", "button", "datalist"}
+# Nodes where block-level elements can stand, else inline.
+EITHER = frozenset("object noscript".split())
+# End tags that close open blocks above their element.
+_CROSSING = BLOCK | SILENT | EITHER | EMBEDDED
+_PHRASING = frozenset("p h1 h2 h3 h4 h5 h6 pre".split())
+# Elements that do not end an open head.
+HEAD = RAW | frozenset("html head base basefont bgsound link meta noscript template".split())
 # A start tag of the first kind ends an open element of the second, inside the third.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -58,6 +74,18 @@ def attribute_tokens(attributes: str) -> frozenset:
     return frozenset(w.lower() for m in _ATTR.finditer(attributes) for w in _WORD.findall(_CAMEL.sub(" ", m[2])))
 
 
+def _ends(name: str, source: str) -> dict[int, int]:
+    """Start and end of each ``name`` element that has its own end tag."""
+    out, open_at = {}, []
+    for m in re.finditer(rf"<(/?){re.escape(name)}(?=[\s/>])((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", source, re.I):
+        if not m[1]:
+            if not m[2].endswith("/"):
+                open_at.append(m.start())
+        elif open_at:
+            out[open_at.pop()] = m.end()
+    return out
+
+
 def read_page(source: str | None) -> Page:
     page = Page()
     source = source or ""
@@ -79,15 +107,24 @@ def read_page(source: str | None) -> Page:
     def close(to: int) -> None:
         """Close the elements above position ``to`` of the stack."""
         while len(stack) > to:
-            name, node, _ = stack.pop()
-            if name in BLOCK:
+            _, node, _ = stack.pop()
+            if node != stack[-1][1]:
                 flush(node)
 
+    def end_head() -> None:
+        for i in range(len(stack) - 1, 0, -1):
+            if stack[i][0] == "head":
+                close(i)
+                return
+
+    ends: dict[str, dict[int, int]] = {}
     links = 0  # open <a> elements
     at, end = 0, len(source)
     while at < end:
         m = _TAG.search(source, at)
         text = source[at : m.start() if m else end]
+        if stack[-1][0] == "head" and text.strip():
+            end_head()
         if text and not stack[-1][2]:
             text = html.unescape(text)
             parts.append(text)
@@ -105,16 +142,24 @@ def read_page(source: str | None) -> Page:
                 if stack[i][0] == name:
                     close(i)
                     break
-                if stack[i][0] in BLOCK and name not in BLOCK and name not in SILENT:
+                if stack[i][0] in BLOCK and name not in _CROSSING:
                     break
             links = sum(e[0] == "a" for e in stack) if name == "a" or links else 0
             continue
+        if stack[-1][2] and name not in HEAD:
+            end_head()
         silent = stack[-1][2]
+        if name in EMBEDDED:
+            if name not in ends:
+                ends[name] = _ends(name, source)
+            at = ends[name].get(m.start(), at)
+            continue
         if name in RAW and not attributes.endswith("/"):
             stop = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*+>?", re.I).search(source, at)
             at = stop.end() if stop else end
             continue
-        if name in BLOCK:
+        flow = stack[-1][0] == page.tag[stack[-1][1]] and stack[-1][0] not in _PHRASING and not silent
+        if name in BLOCK or (name in EITHER and flow and not attributes.endswith("/")):
             rule = CLOSES.get(name)
             if rule:
                 for i in range(len(stack) - 1, 0, -1):

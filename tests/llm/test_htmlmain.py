@@ -82,3 +82,25 @@ def test_odd_pages(spark):
     assert by[1, 0] == by[2, 0] == by[3, 0] == ""
     assert (4, len(" ".join((PARA * 400).split()))) in by
     assert htmlmain.extract(pages.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("source, want", [
+    ("<p>a</p><object data=x><p>b</p>", ["a", "b"]),
+    ("<p>a</p><video src=x><p>b</p><video>fallback</video><p>c</p>", ["a", "b", "c"]),
+    ("<p>a<svg><svg><text>drawn</text></svg><text>drawn</text></svg> b<canvas>c", ["a bc"]),
+    ("<html><head><title>t</title><meta charset=u><script>s</script><body><p>a</p></body></html>", ["a"]),
+    ("<html><head><title>t</title><noscript><link href=x></noscript><div>a</div>b", ["a", "b"]),
+    ("<head><title>t</title>a<p>b", ["a", "b"]),
+    ("<head><title>t</title><noscript>no text of the page</noscript></head><p>a", ["a"]),
+    ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds<noscript> too</noscript></p>", ["so x=2 holds too"]),
+    ("<p>a<iframe src=x><p>b", ["a", "b"]),
+    ("<div><noscript><div>a</noscript>b<span><noscript>c</noscript></span></div>", ["a", "bc"]),
+    ("<div>a<noscript>b</noscript><object><p>c</p>d</object>e</div>", ["a", "b", "c", "d", "e"]),
+])
+def test_no_text_is_lost_before_the_trees(source, want):
+    assert read_page(source).block_text == want
+
+
+def test_noscript_and_object_are_nodes():
+    page = read_page("<body><noscript>a</noscript><object>b</object></body>")
+    assert page.tag == ["#root", "body", "noscript", "object"] and page.block_node == [2, 3]

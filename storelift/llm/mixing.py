@@ -2,8 +2,11 @@
 
 Built-in DataFrame functions only.  Documents are summed into cells of
 (source, language, topic); the cells' token weights are raked in turn to the
-source, language and topic targets until every marginal holds; a document is
-then kept with its cell's calibrated probability.
+source, language and topic targets until every marginal holds, or until sweeps
+no longer bring them closer, as with targets that contradict each other (one
+source per language); a document is then kept with its cell's calibrated
+probability.  A cell's probability ends at 1, so the sample can miss targets
+that the weights meet.  What remains of either deviation is logged as a warning.
 
 Only the cell table is iterated over, by window sums that Spark partitions by
 the raked dimension; a hot source is summed map-side before any shuffle.  The
@@ -20,6 +23,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -32,11 +36,16 @@ DIMENSIONS = ("source", "lang", "topic")
 POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.7}
 #: Share of all tokens that a sample holds in expectation.
 KEEP_SHARE = 0.5
-#: Sweeps between two convergence checks, and the largest number of sweeps.
-SWEEPS_PER_CHECK, MAX_SWEEPS = 4, 48
+#: Sweeps between two convergence checks.
+SWEEPS_PER_CHECK = 4
+#: Targets contradict if between two checks the largest deviation falls by a smaller
+#: part than the first value and no cell's weight grows by a larger part than the second.
+LEAST_GAIN, LEAST_GROWTH = 1e-3, 1e-6
 #: Largest accepted deviation of a marginal from its target share.
 TOLERANCE = 1e-11
 
+_log = logging.getLogger(__name__)
+
 
 def token_count(text: Column) -> Column:
     """Number of words (runs outside ASCII white space)."""
@@ -74,18 +83,32 @@ def rake(cells: DataFrame, powers: dict[str, float] = POWERS) -> DataFrame:
         total = marginal.agg(F.sum("_m")).first()[0] or 1.0
         cells = cells.join(marginal.select(F.col(dim), (F.col("_m") / F.lit(total)).alias(f"target_{dim}")), dim)
     cells = stored(cells.withColumn("weight", F.col("tokens").cast("double")), "mix-cells")
-    sweeps = 0
+    before = float("inf")
     while True:
+        cells = cells.withColumn("_before", F.col("weight"))
         for _ in range(SWEEPS_PER_CHECK):
             for dim in DIMENSIONS:
                 cells = cells.withColumn("weight", F.col("weight") * F.col(f"target_{dim}")
                                          / F.sum("weight").over(Window.partitionBy(dim)))
         cells = stored(cells, "mix-cells")
-        sweeps += SWEEPS_PER_CHECK
-        off = [cells.groupBy(dim).agg(F.abs(F.sum("weight") - F.first(f"target_{dim}")).alias("d")) for dim in DIMENSIONS]
-        worst = reduce(DataFrame.unionAll, off).agg(F.max("d")).first()[0]
-        if worst is None or worst <= TOLERANCE or sweeps >= MAX_SWEEPS:
-            return cells
+        off = deviations(cells, F.col("weight"))
+        worst = max(off.values())
+        if worst <= TOLERANCE:
+            return cells.drop("_before")
+        growth = cells.where("_before > 0").agg(F.max(F.col("weight") / F.col("_before"))).first()[0] - 1
+        if worst > before * (1 - LEAST_GAIN) and growth <= LEAST_GROWTH:
+            _log.warning("mixing: targets not met by raking, largest deviation of a marginal share: %s", off)
+            return cells.drop("_before")
+        before = worst
+
+
+def deviations(cells: DataFrame, amount: Column) -> dict[str, float]:
+    """Largest deviation of a marginal's share of ``amount`` from its target, by dimension."""
+    shares = cells.withColumn("_a", amount)
+    total = shares.agg(F.sum("_a")).first()[0] or 1.0
+    off = [shares.groupBy(dim).agg(F.abs(F.sum("_a") / F.lit(total) - F.first(f"target_{dim}")).alias("d")).agg(
+        F.lit(dim).alias("dim"), F.coalesce(F.max("d"), F.lit(0.0)).alias("d")) for dim in DIMENSIONS]
+    return {dim: d for dim, d in reduce(DataFrame.unionAll, off).collect()}
 
 
 def probabilities(cells: DataFrame, keep_share: float = KEEP_SHARE) -> DataFrame:
@@ -112,6 +135,15 @@ def probabilities(cells: DataFrame, keep_share: float = KEEP_SHARE) -> DataFrame
     return cells.withColumn("probability", F.least(F.lit(1.0), F.lit(scale) * ratio))
 
 
+def calibrated(cells: DataFrame, powers: dict[str, float] = POWERS, keep_share: float = KEEP_SHARE) -> DataFrame:
+    """Raked ``cells`` with ``probability``; warns when the expected sample misses its targets."""
+    cells = probabilities(rake(cells, powers), keep_share)
+    off = deviations(cells, F.col("probability") * F.col("tokens"))
+    if max(off.values()) > 1e-9:
+        _log.warning("mixing: largest deviation of a marginal share of the expected sample from its target: %s", off)
+    return cells
+
+
 def with_cell(docs: DataFrame) -> DataFrame:
     """Documents reduced to id, cell and token count."""
     n = token_count(F.col("text"))
@@ -126,7 +158,7 @@ def mix(docs: DataFrame, powers: dict[str, float] = POWERS, keep_share: float =
     Returns doc_id, source, lang, topic, n_tokens, probability, sampled.
     """
     keyed = with_cell(docs)
-    cells = probabilities(rake(cells_of(keyed), powers), keep_share)
+    cells = calibrated(cells_of(keyed), powers, keep_share)
     p = F.coalesce("probability", F.lit(0.0))
     return (keyed.join(cells.select(*DIMENSIONS, "probability"), list(DIMENSIONS), "left")
                  .select("doc_id", "source", "lang", "topic", "n_tokens", p.alias("probability"),
@@ -135,7 +167,7 @@ def mix(docs: DataFrame, powers: dict[str, float] = POWERS, keep_share: float =
 
 def sample(docs: DataFrame, powers: dict[str, float] = POWERS, keep_share: float = KEEP_SHARE) -> DataFrame:
     """The sampled rows of ``docs``, with the columns of ``docs``."""
-    cells = probabilities(rake(cells_of(with_cell(docs)), powers), keep_share)
+    cells = calibrated(cells_of(with_cell(docs)), powers, keep_share)
     keys = cells.select(*[F.col(d).alias(f"_cell_{d}") for d in DIMENSIONS], F.col("probability").alias("_cell_p"))
     n = token_count(F.col("text"))
     here = {"source": F.coalesce("source", F.lit("")), "lang": F.coalesce("lang", F.lit("")), "topic": text_form(F.col("text"), n)}

@@ -45,3 +45,28 @@ def test_odd_rows(odd_documents, no_documents):
     assert kept.columns == [*odd_documents.columns, "topic", "probability", "n_tokens"]
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in rows if r.sampled)
     assert mixing.mix(no_documents).count() == 0 and mixing.sample(no_documents).count() == 0
+
+
+def _cells(spark, rows):
+    return spark.createDataFrame([(s, l, "short", t) for s, l, t in rows], "source string, lang string, topic string, tokens long")
+
+
+def test_raking_goes_on_until_the_marginals_hold(spark, caplog):
+    """Two nearly separate blocks: the few tokens across have to grow for many sweeps."""
+    cells = _cells(spark, [("a", "x", 10**13), ("a", "y", 1), ("b", "x", 1), ("b", "y", 10**11)])
+    raked = mixing.rake(cells)
+    assert max(mixing.deviations(raked, F.col("weight")).values()) <= mixing.TOLERANCE and not caplog.records
+
+
+def test_contradicting_targets_are_reported(spark, caplog):
+    """One source per language: the source and language targets cannot both hold."""
+    raked = mixing.rake(_cells(spark, [("a", "x", 10_000), ("b", "y", 100)]))
+    off = mixing.deviations(raked, F.col("weight"))
+    assert off["source"] > 0.01 and "targets not met" in caplog.text and str(off["source"])[:6] in caplog.text
+
+
+def test_capped_cells_are_reported(spark, caplog):
+    """Shares of probability times tokens, not of the weights alone."""
+    cells = mixing.calibrated(_cells(spark, [("a", "x", 1_000_000), ("a", "y", 1_000), ("b", "x", 1_000), ("b", "y", 100)]))
+    off = mixing.deviations(cells, F.col("probability") * F.col("tokens"))
+    assert max(off.values()) > 0.01 and "expected sample" in caplog.text

@@ -17,7 +17,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_shard_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = sharding.histogram_sort(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    placed = sharding.histogram_sort(read_table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
 

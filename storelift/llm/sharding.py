@@ -7,8 +7,10 @@ counting, exactly and across all partitions, the bytes below candidate
 boundaries ("probes").  Each pass splits only the key intervals that still
 hold a boundary into 1,024 equal parts, so the probes close in on the
 splitters by ten bits a pass, and a boundary is accepted as soon as the bytes
-below it are within tolerance of its share.  Rows then move once, to their
-range.
+below it are within tolerance of its share.  Whole rows, texts and all other
+columns included, then move once, to their range, and are written to the shared
+folder by shard, in slot order within each file.  What the operator returns is
+read back from these files.
 
 The same search on row counts yields finer ranges (about ``ROWS_PER_RANGE``
 rows each) inside the shards; they bound what one task sorts.  The driver
@@ -21,18 +23,20 @@ the nearest document boundary where a document is larger than that.
 Defined cases: a null text weighs 1 and has the CRC of no bytes, 0.  A null
 doc_id sorts as the smallest long.  Rows alike in text and doc_id share one
 key and stay in one shard.  With fewer rows than shards some shards are empty;
-an empty table gives an empty result.  Only doc_id and text are read, so other
-columns can have any name.
+an empty table gives an empty result.  Other columns can have any name; they
+travel inside one struct.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import stored
+from ..session import shared_dir, stored
 
 N_SHARDS = 16
 #: Accepted deviation of the bytes below a boundary, as a part of one shard's bytes.
@@ -108,18 +112,22 @@ def splitters(keys: DataFrame, weight: Column, parts: int, tolerance: float) ->
     return [found[t] - (1 << 63) for t in range(parts - 1)]
 
 
-def histogram_sort(docs: DataFrame, n_shards: int = N_SHARDS, tolerance: float = TOLERANCE,
-                   rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """doc_id, size, text_crc32, key, shard, slot of every row.
+def _size(text: Column) -> Column:
+    return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
+
+
+def _crc(text: Column) -> Column:
+    return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
+
+
+def write_shards(docs: DataFrame, path: str, n_shards: int = N_SHARDS, tolerance: float = TOLERANCE,
+                 rows_per_range: int = ROWS_PER_RANGE) -> None:
+    """Write the rows of ``docs`` to ``path``: doc (all columns) and slot, in folders by shard.
 
     Slots number a shard's rows in key order from 0, ties by doc_id.
     """
     text = F.col("text")
-    keys = stored(docs.select(
-        "doc_id",
-        (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1).alias("size"),
-        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-        sort_key(text, F.col("doc_id")).alias("key")), "shard-keys")
+    keys = stored(docs.select(_size(text).alias("size"), sort_key(text, F.col("doc_id")).alias("key")), "shard-keys")
     n_rows = keys.count()
     shard_cuts = splitters(keys, F.col("size"), n_shards, tolerance)
     n_ranges = max(MIN_RANGES, -(-n_rows // rows_per_range))
@@ -142,8 +150,29 @@ def histogram_sort(docs: DataFrame, n_shards: int = N_SHARDS, tolerance: float =
         seen[shard] = seen.get(shard, 0) + in_range.get(r, 0)
     lookup = keys.sparkSession.createDataFrame(
         pd.DataFrame({"range": np.arange(len(shard_of), dtype=np.int32), "shard": shard_of, "base": base}))
-    order = Window.partitionBy("range").orderBy("key", "doc_id", "text_crc32")
-    return (ranged.withColumn("_rank", F.row_number().over(order) - 1)
-                  .join(F.broadcast(lookup), "range")
-                  .select("doc_id", "size", "text_crc32", "key", F.col("shard").cast("int").alias("shard"),
-                          (F.col("base") + F.col("_rank")).cast("long").alias("slot")))
+    order = Window.partitionBy("range").orderBy("key", "doc.doc_id", "_crc")
+    moved = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), sort_key(text, F.col("doc_id")).alias("key"),
+                        _crc(text).alias("_crc")).withColumn("range", range_of("key"))
+    (moved.withColumn("_rank", F.row_number().over(order) - 1)
+          .join(F.broadcast(lookup), "range")
+          .select("doc", (F.col("base") + F.col("_rank")).cast("long").alias("slot"), F.col("shard").cast("int").alias("shard"))
+          .sortWithinPartitions("shard", "slot")
+          .write.partitionBy("shard").option("compression", "zstd").parquet(path))
+
+
+def read_shards(docs: DataFrame, path: str) -> DataFrame:
+    """doc, slot, shard as ``write_shards`` wrote them; ``docs`` gives the columns."""
+    schema = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.lit(0).cast("long").alias("slot"),
+                         F.lit(0).cast("int").alias("shard")).schema
+    return docs.sparkSession.read.schema(schema).parquet(path)
+
+
+def histogram_sort(docs: DataFrame, n_shards: int = N_SHARDS, tolerance: float = TOLERANCE,
+                   rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Writes the shards to the shared folder, reads them back and returns
+    doc_id, size, text_crc32, key, shard, slot of every row."""
+    path = f"{shared_dir(docs.sparkSession)}/shards-{uuid.uuid4().hex[:12]}"
+    write_shards(docs, path, n_shards, tolerance, rows_per_range)
+    text, doc_id = F.col("doc.text"), F.col("doc.doc_id")
+    return read_shards(docs, path).select(
+        doc_id.alias("doc_id"), _size(text).alias("size"), _crc(text).alias("text_crc32"), sort_key(text, doc_id).alias("key"), "shard", "slot")

@@ -41,3 +41,19 @@ def test_odd_rows(odd_documents, no_documents):
     for _, own in rows.groupby("shard"):
         assert sorted(own.slot) == list(range(len(own)))
     assert sharding.histogram_sort(no_documents).count() == 0
+
+
+def test_texts_are_written_by_shard_in_slot_order(odd_documents, tmp_path):
+    """Whole rows move: the files hold every column, in slot order, in their shard's folder."""
+    docs = odd_documents.selectExpr("*", "doc_id AS slot", "'x' AS shard", "lang AS `a.b`")
+    path = str(tmp_path / "shards")
+    sharding.write_shards(docs, path, n_shards=3)
+    rows = sharding.read_shards(docs, path).selectExpr("*", "_metadata.file_path AS file").collect()
+    assert sorted(map(repr, (tuple(r.doc) for r in rows))) == sorted(map(repr, map(tuple, docs.collect())))
+    last = {}
+    for r in rows:
+        assert f"/shard={r.shard}/" in r.file and r.slot > last.get(r.file, -1)
+        last[r.file] = r.slot
+    for shard in {r.shard for r in rows}:
+        slots = sorted(r.slot for r in rows if r.shard == shard)
+        assert slots == list(range(len(slots)))

@@ -42,6 +42,7 @@ SAMPLE_PAGES = 400
 ROUNDS, DEPTH, RATE, BINS = 60, 4, 0.2, 32
 #: Pages whose nodes go through the trees together.
 PAGES_AT_ONCE = 200
+_ASCII_UPPER = bytes(range(65, 91))
 
 # Words that name the parts of a page in tags, classes and roles.
 CONTENT_TAGS = frozenset("article main".split())
@@ -139,6 +140,13 @@ def recast(page: Page, draw: int) -> Page:
     return read_page("<body>" + "".join(around[:cut]) + start + "".join(parts) + end + "".join(around[cut:]) + "</body>")
 
 
+def _upper(text: str) -> int:
+    """Number of upper-case characters."""
+    if text.isascii():
+        return len(text) - len(text.encode().translate(None, _ASCII_UPPER))
+    return sum(map(str.isupper, text))
+
+
 def node_features(page: Page) -> np.ndarray:
     """One row of ``FEATURES`` for each node."""
     n = len(page.tag)
@@ -150,7 +158,7 @@ def node_features(page: Page) -> np.ndarray:
         per_block = np.stack((
             chars, [t.count(" ") + 1 for t in text], np.ones(len(text)), np.minimum(page.block_link, chars),
             [t.count(".") + t.count("!") + t.count("?") for t in text], [t.count(",") for t in text],
-            [sum(map(str.isupper, t[:200])) * len(t) / min(len(t), 200) for t in text],
+            [_upper(t) for t in text],
             np.where([page.tag[i] == "p" for i in node], chars, 0)), axis=1)
         np.add.at(own, node, per_block)
     total = _up(page, own)

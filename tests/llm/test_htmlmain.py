@@ -104,3 +104,10 @@ def test_no_text_is_lost_before_the_trees(source, want):
 def test_noscript_and_object_are_nodes():
     page = read_page("<body><noscript>a</noscript><object>b</object></body>")
     assert page.tag == ["#root", "body", "noscript", "object"] and page.block_node == [2, 3]
+
+
+def test_capitals_count_over_the_whole_block():
+    at = htmlmain.FEATURES.index("upper_share")
+    for low, high in (("a", "B"), ("é", "É")):
+        early, late = (htmlmain.node_features(read_page(f"<p>{t}</p>"))[1, at] for t in (high * 300 + low * 300, low * 300 + high * 300))
+        assert early == late > 0

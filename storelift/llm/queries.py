@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import annforest, decontaminate, htmlmain, langid, linededup, lm, mixing, neardup, sharding, tokenfile
+from . import annforest, decontaminate, htmlmain, langid, linededup, lm, mixing, neardup, sharding, simhash, tokenfile
 from .common import read_table as _read_table
 from .common import ship_package
 from .oracle import ORACLE_SQL  # noqa: F401
@@ -63,6 +63,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.withColumn("probability", F.round("probability", 9))
 
 
+def op12_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -81,4 +85,5 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op7_line_dedup": op7_line_dedup,
     "op10_mixing": op10_mixing,
+    "op12_simhash_trie": op12_simhash_trie,
 }

@@ -152,13 +152,12 @@ def trie_links(a: np.ndarray, b: np.ndarray, budget: int = BUDGET, same: bool =
 
 
 def _unit_links(budget: int):
-    """Spanning links of one unit: rows (side, fp) of its one or two nodes."""
+    """Spanning links of one unit: a row (side, fps) for each of its one or two nodes."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        side = pdf["side"].to_numpy()
-        a = np.sort(pdf["fp"].to_numpy()[side == 0].view(np.uint64))
-        b = np.sort(pdf["fp"].to_numpy()[side == 1].view(np.uint64))
-        same = not len(b)
+        nodes = [np.sort(np.asarray(fps, np.int64).view(np.uint64)) for fps in pdf.sort_values("side")["fps"]]
+        a, same = nodes[0], len(nodes) == 1
+        b = None if same else nodes[1]
         both = a if same else np.concatenate((a, b))
         label = np.arange(len(both))
         for i, j in trie_links(a, a if same else b, budget, same):
@@ -212,7 +211,10 @@ def links(fps: DataFrame, budget: int = BUDGET, node_rows: int = NODE_ROWS) -> D
         "ELSE array(named_struct('side', 0, 'node', a), named_struct('side', 1, 'node', b)) END")).alias("s")).select("unit", "bits", "s.*")
     placed = fps.select("fp", F.explode(F.array(*[F.struct(F.lit(d).alias("bits"), _prefix(F.col("fp"), d).alias("node")) for d in depths]))
                         .alias("n")).select("fp", "n.*")
-    rows = placed.join(sides, ["bits", "node"]).select("unit", "side", "fp")
+    # The nodes of units have at most node_rows fingerprints, so a node fits into a row, which then goes to its units.
+    nodes = (placed.join(sides.select("bits", "node").distinct(), ["bits", "node"], "left_semi")
+                   .groupBy("bits", "node").agg(F.collect_list("fp").alias("fps")))
+    rows = sides.join(nodes, ["bits", "node"]).select("unit", "side", "fps")
     return rows.groupBy("unit").applyInPandas(_unit_links(budget), "a long, b long")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import annforest, decontaminate, htmlmain, langid, linededup, lm, mixing, neardup, sharding, simhash, tokenfile
+from . import annforest, codebooks, decontaminate, hardneg, htmlmain, langid, linededup, lm, mixing, neardup, sharding, simhash, tokenfile
 from .common import read_table as _read_table
 from .common import ship_package
 from .oracle import ORACLE_SQL  # noqa: F401
@@ -63,10 +63,20 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.withColumn("probability", F.round("probability", 9))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(vectors.select("vec_id", "embedding", label.alias("label")))
+
+
 def op12_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_laesa_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codebooks.encode(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -85,5 +95,7 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op7_line_dedup": op7_line_dedup,
     "op10_mixing": op10_mixing,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_simhash_trie": op12_simhash_trie,
+    "op13_laesa_codes": op13_laesa_codes,
 }

@@ -4,7 +4,8 @@ main()`` with the package shipped by ``--py-files``.
 
 Reads the seven inputs from the catalog (``--table role=name``) or from files
 (``--path role=location``), builds both reports and replaces the contents of
-the target tables, like the source's delete + insert statements.
+the target tables, like the source's delete + insert statements, but both
+together or neither (``sinks.refresh``).
 
     python -m storelift.job \\
         --table campaign_reservation=db.reservation ... \\
@@ -19,9 +20,9 @@ import datetime as dt
 import sys
 
 from .params import Params
-from .plans.reports import campaign_performance, in_store_activity
+from .plans.reports import campaign_performance, in_store_activity, prepare
 from .session import drop_stored, get_session
-from .sinks.refresh import refresh
+from .sinks.refresh import Load, refresh_all
 from .sources.schemas import SCHEMAS
 from .sources.tables import Sources
 
@@ -54,6 +55,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--sibling-distributor", default=defaults.sibling_distributor)
     ap.add_argument("--excluded-order-distributor", default=defaults.excluded_order_distributor)
     ap.add_argument("--bucket-days", type=int, default=defaults.bucket_days, help="width of the range join's time buckets")
+    ap.add_argument("--journal", default=None, help="folder of the load journal, default <warehouse>/_refresh")
     ap.add_argument("--checkpoint-dir", default=None, help="shared folder for intermediates, where spark.checkpoint.dir is unset")
     args = ap.parse_args(argv)
 
@@ -81,11 +83,13 @@ def main(argv: list[str] | None = None) -> int:
         excluded_order_distributor=args.excluded_order_distributor,
         bucket_days=args.bucket_days,
     )
-    for target, build in ((args.main_table, campaign_performance), (args.sibling_table, in_store_activity)):
-        if target:
-            location = f"{args.location.rstrip('/')}/{target}" if args.location else None
-            refresh(build(src, params), target, location)
-    drop_stored(spark)
+    targets = [(t, build) for t, build in ((args.main_table, campaign_performance), (args.sibling_table, in_store_activity)) if t]
+    try:
+        prepared = prepare(src, params)
+        loads = [Load(build(src, params, prepared), t, f"{args.location.rstrip('/')}/{t}" if args.location else None) for t, build in targets]
+        refresh_all(loads, args.journal)
+    finally:
+        drop_stored(spark)
     return 0
 
 

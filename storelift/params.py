@@ -69,6 +69,10 @@ class Params:
     # last verified event day + max(windows).  The bound reaches the scan as
     # a pushed filter (partition pruning / row-group skipping on date_id).
     prune_order_days: bool = True
+    # Largest Bloom filter of visiting members that the order lines are probed
+    # with before their first shuffle, in bits (16 a member are wanted; a filter
+    # that would let half of the others through is left out).  0: no filter.
+    member_filter_max_bits: int = 1 << 27
 
     def __post_init__(self) -> None:
         if not self.windows or min(self.windows) < 0:

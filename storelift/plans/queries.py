@@ -25,7 +25,7 @@ from ..operators.participations import flag_redemption, participation_rows, part
 from ..operators.reservations import count_reservations
 from ..operators.rollups import daily_net_sales, daily_orders
 from ..params import Params
-from ..session import drop_path
+from ..session import drop_path, stored
 from ..sinks.refresh import refresh, scratch_table
 from ..sources import testdata
 from . import lineitem as LI
@@ -132,18 +132,32 @@ def q_in_store_activity(spark, sf_dir):
 
 
 def q_refresh_roundtrip(spark, sf_dir):
-    """Load the sibling report twice by full refresh (create, then overwrite
-    by position), read the table back and remove it."""
+    """Load the sibling report twice by full refresh (create, then switch to
+    new rows by position), read the table back and remove it."""
     name, location = scratch_table(spark, "in_store_activity")
-    report = in_store_activity(_src(spark, sf_dir), PARAMS)
-    refresh(report, name, location)
-    refresh(report, name, location)
-    back = spark.table(name).checkpoint()
+    report = stored(in_store_activity(_src(spark, sf_dir), PARAMS), "roundtrip-report")
+    for _ in range(2):
+        refresh(report, name, location, journal=f"{location}_journal")
+    back = stored(spark.table(name), "roundtrip")
     spark.sql(f"DROP TABLE {name}")
-    drop_path(spark, location)
+    drop_path(spark, location.rpartition("/")[0])
     return back
 
 
+def q_load_stamp_check(spark, sf_dir):
+    """Load stamps of a report built without a fixed time: one for all rows,
+    between the start and the end of the run, and the batch date is its day."""
+    clock = lambda: spark.range(1).select(F.localtimestamp()).first()[0]
+    started = clock()
+    report = stored(campaign_performance(_src(spark, sf_dir), Params()).select("dl_load_time", "dl_batch_date"), "stamped-report")
+    ended = clock()
+    stamp = F.col("dl_load_time")
+    return report.agg(
+        F.count(F.lit(1)).alias("report_rows"), F.count_distinct("dl_load_time").alias("stamps"),
+        F.bool_and(stamp.between(F.lit(started).cast("timestamp_ntz"), F.lit(ended).cast("timestamp_ntz"))).alias("within_run"),
+        F.bool_and(F.col("dl_batch_date") == F.date_format(stamp, "yyyyMMdd")).alias("batch_is_day"))
+
+
 def q_dimension_key_check(spark, sf_dir):
     return dimension_key_report(_src(spark, sf_dir), PARAMS)
 
@@ -176,6 +190,7 @@ QUERIES: dict[str, Query] = {
     "campaign_performance": q_campaign_performance,
     "in_store_activity": q_in_store_activity,
     "refresh_roundtrip": q_refresh_roundtrip,
+    "load_stamp_check": q_load_stamp_check,
     "dimension_key_check": q_dimension_key_check,
     "lineitem_ship_window": q_lineitem_ship_window,
     "lineitem_net_sales": q_lineitem_net_sales,

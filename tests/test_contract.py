@@ -289,11 +289,12 @@ print("GOT", s.conf.get("spark.sql.session.timeZone"), s.conf.get("spark.sql.ada
 
 def test_packed_text_days_prune_the_scan(spark, tmp_path):
     """Text days in a sortable format reach the scan as a text bound."""
-    from storelift.plans.reports import attributable_orders
+    from storelift.plans.reports import attributable_orders, prepare
 
     mem = Sources.from_rows(spark, golden_rows())
     mem.member_order_detail.withColumn("date_id", F.date_format("date_id", "yyyyMMdd")).write.parquet(str(tmp_path / "o"))
     parts = {f: getattr(mem, f) for f in ("campaign_reservation", "phy_store", "app_store", "member_detail", "campaign_code", "coupon_benefit")}
     src = Sources(**parts, member_order_detail=spark.read.parquet(str(tmp_path / "o")))
-    plan = attributable_orders(src, Params(order_date_format="yyyyMMdd"))._jdf.queryExecution().executedPlan().toString()
+    p = Params(order_date_format="yyyyMMdd")
+    plan = attributable_orders(src, p, prepare(src, p).days)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(date_id,20240110)" in plan and "LessThanOrEqual(date_id,20240211)" in plan

@@ -1,0 +1,83 @@
+"""The member filter lets every visitor's lines through and few others."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from storelift import Params, Sources
+from storelift.functions.memberfilter import BITS_PER_KEY, false_rate, filter_words, may_be_member, member_filter
+from storelift.operators.participations import main_stores
+from storelift.operators.rollups import at_stores, daily_activity
+from storelift.plans.queries import PARAMS
+from storelift.plans.reports import attributable_orders, attributed_groups, prepare, visitors_orders
+from storelift.sources import testdata
+from tests.fixtures import golden_rows
+
+
+@pytest.mark.parametrize("keys", [1, 3000, 200_000])
+def test_no_member_is_lost_and_the_rate_holds(spark, keys):
+    words = filter_words(keys, 1 << 27)
+    inside = spark.range(keys).select((F.col("id") * 5003).cast("int").alias("k"))
+    row = member_filter(inside.unionAll(inside.limit(5)).unionAll(spark.range(1).select(F.lit(None).cast("int"))), "k", words)
+    assert row.count() == 1 and row.select(F.size("filter")).first()[0] == words
+    kept = inside.where(may_be_member(row, F.col("k"), words)).count()
+    others = spark.range(400_000).select((F.col("id") * 5003 + 1).cast("int").alias("k"))
+    through = others.where(may_be_member(row, F.col("k"), words)).count() / 400_000
+    rate = false_rate(keys, words)
+    assert kept == keys and rate <= 0.0145 and through <= 1.2 * rate + 0.001
+    assert spark.range(3).where(may_be_member(row, F.lit(None).cast("int"), words)).count() == 3
+
+
+def test_sizes():
+    assert filter_words(0, 1 << 27) == filter_words(1, 1 << 27) == 1024
+    assert filter_words(1_000_000, 1 << 27) * 64 == 1 << 24 >= BITS_PER_KEY * 1_000_000
+    assert filter_words(10**8, 1 << 27) == 0 and filter_words(5, 0) == 0 and filter_words(10**7, 1 << 27) == 1 << 21
+
+
+def test_lines_before_the_first_exchange(spark):
+    """Rows into the per-order shuffle: the visitors' own lines and the stated share of the others."""
+    src = testdata.sources(spark, "/root/testdata/sf0.1")
+    prepared = prepare(src, PARAMS)
+    at_store = at_stores(attributable_orders(prepared.src, PARAMS, prepared.days), main_stores(src, PARAMS), PARAMS).where("crm_member_id IS NOT NULL")
+    key = F.col("crm_member_id").cast("int")
+    visitors = prepared.visits.select(F.col("member_key").cast("int").alias("m")).distinct()
+    own = at_store.join(visitors, key == F.col("m"), "left_semi").count()
+    every, kept = at_store.count(), visitors_orders(prepared, PARAMS).where("crm_member_id IS NOT NULL").count()
+    rate = false_rate(prepared.visitors, filter_words(prepared.visitors, PARAMS.member_filter_max_bits))
+    assert own <= kept <= own + 2 * rate * (every - own) + 20 and rate <= 0.0145
+    assert 0.9 * visitors.count() <= prepared.visitors <= 1.1 * visitors.count()
+
+
+def test_results_do_not_depend_on_the_filter(spark):
+    rows = golden_rows()
+    rnd = random.Random(4)
+    extra = [(m, dt.date(2024, 1, rnd.randint(8, 31)), "S1", f"X{k}", True, 1, "LCS", "x", 1, None)
+             for k, m in enumerate(["2", "002", "+2", "77", "78", None] * 20)]
+    rows["member_order_detail"] = rows["member_order_detail"] + extra
+    src = Sources.from_rows(spark, rows)
+    with_filter, without = (sorted(map(str, attributed_groups(src, Params(member_filter_max_bits=b)).collect())) for b in (1 << 27, 0))
+    assert with_filter == without and with_filter
+
+
+def test_bad_order_ids_still_fail(spark):
+    """A malformed id on an order line of a selected store is not filtered away silently."""
+    rows = golden_rows()
+    rows["member_order_detail"] = rows["member_order_detail"] + [("x9", dt.date(2024, 1, 11), "S1", "B", True, 1, "LCS", "x", 1, None)]
+    src = Sources.from_rows(spark, rows)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        attributed_groups(src).collect()
+    prepared = prepare(src, Params(on_bad_id="null"))
+    assert daily_activity(visitors_orders(prepared, Params(on_bad_id="null")), Params(on_bad_id="null")).where("crm_member_id = 'x9'").count() == 1
+
+
+def test_no_reservations_at_all(spark):
+    rows = golden_rows()
+    rows["campaign_reservation"] = []
+    src = Sources.from_rows(spark, rows)
+    prepared = prepare(src)
+    assert prepared.days == (None, None) and prepared.visitors == 0
+    assert attributed_groups(src, Params(), prepared).collect() == []

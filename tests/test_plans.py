@@ -5,12 +5,13 @@ from __future__ import annotations
 import datetime as dt
 import re
 import tempfile
+import uuid
 
 import pytest
 
 from storelift import Params, Sources, campaign_performance, in_store_activity
 from storelift.operators.rollups import daily_net_sales
-from storelift.plans.reports import attributed_groups
+from storelift.plans.reports import attributed_groups, prepare
 from storelift.sources.schemas import SCHEMAS
 from tests.fixtures import golden_rows
 
@@ -21,6 +22,7 @@ P = Params(batch_ts=dt.datetime(2024, 2, 1))
 def file_sources(spark):
     """The golden rows written as parquet, one folder per input, so scans
     show up as file scans in the plan."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     root = tempfile.mkdtemp(prefix="storelift-plan-")
     mem = Sources.from_rows(spark, golden_rows())
     paths = {}
@@ -39,21 +41,49 @@ def executed_plan(df) -> str:
 
 
 def final_part(plan: str) -> str:
-    # AQE prints the final plan, then the initial plan; keep the final one.
-    return plan.split("+- == Initial Plan ==")[0]
+    # AQE prints the final plan, then the initial plan; keep the final one, without the plans of subqueries.
+    lines, deeper = [], None
+    for line in re.split(r"(?m)^\+- == Initial Plan ==", plan)[0].splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*"))
+        if deeper is not None and depth > deeper:
+            continue
+        deeper = depth if re.match(r"[ :]*[:+]- Subquery subquery#", line) else None
+        lines.append(line)
+    return "\n".join(lines)
 
 
 def scans_of(plan: str, table: str) -> int:
     return len(re.findall(rf"FileScan parquet [^\n]*{table}\]", plan))
 
 
+def jobs_of(spark, run) -> int:
+    """How many Spark jobs ``run`` starts."""
+    group = f"jobs-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_reservation_fact_read_once(spark, file_sources):
+    """One pass stores the rows in use and the visit keys; with it, building
+    the groups' plan runs no job and reads no reservations."""
+    prepared = prepare(file_sources, P)
+    assert prepared.days == (dt.date(2024, 1, 10), dt.date(2024, 1, 12)) and prepared.visitors == 4
+    assert jobs_of(spark, lambda: attributed_groups(file_sources, P, prepared)) == 0
+    for df in (attributed_groups(file_sources, P, prepared), campaign_performance(file_sources, P, prepared),
+               in_store_activity(file_sources, P, prepared)):
+        assert scans_of(final_part(executed_plan(df)), "campaign_reservation") == 0
+
+
 def test_order_fact_read_once(file_sources):
     # The attributed groups are the stored part of the main report.
     plan = final_part(executed_plan(attributed_groups(file_sources, P)))
     assert scans_of(plan, "member_order_detail") == 1
-    # Reservation fact: the participation rows, and a three-column read for
-    # the distinct visit keys, which joins no member.
-    assert scans_of(plan, "campaign_reservation") == 2
+    assert scans_of(plan, "campaign_reservation") == 0
+    assert len(re.findall(r"FileScan parquet [^\n]*stored/reservations-", plan)) == 1
     assert scans_of(plan, "member_detail") == 1
     assert scans_of(plan, "coupon_benefit") == 1
 
@@ -89,11 +119,18 @@ def test_store_filter_below_the_first_exchange(file_sources):
     assert "LeftSemi" in above[-1], above
 
 
+def test_member_filter_below_the_first_exchange(file_sources):
+    plan = final_part(executed_plan(attributed_groups(file_sources, P)))
+    lines = plan.splitlines()
+    scan = next(i for i, ln in enumerate(lines) if "FileScan parquet" in ln and "member_order_detail]" in ln)
+    above = [ln for ln in lines[:scan] if ("Filter" in ln and "try_cast" in ln and "xxhash64" in ln) or "Exchange hashpartitioning(crm_member_id" in ln]
+    assert "Filter" in above[-1], above
+
+
 def test_report_reads_stored_groups_not_sources(file_sources):
     plan = final_part(executed_plan(campaign_performance(file_sources, P)))
     assert scans_of(plan, "member_order_detail") == 0
-    # Only the reservation counts still read the reservation fact.
-    assert scans_of(plan, "campaign_reservation") == 1
+    assert scans_of(plan, "campaign_reservation") == 0
 
 
 def test_no_expand_cartesian_or_python(file_sources):
@@ -107,7 +144,6 @@ def test_no_expand_cartesian_or_python(file_sources):
 
 
 def test_filters_and_columns_pushed_to_scan(spark, file_sources):
-    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     plan = final_part(executed_plan(attributed_groups(file_sources, P)))
     line = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "member_order_detail]" in ln][0]
     pushed = re.search(r"PushedFilters: \[([^\]]*)\]", line).group(1)

@@ -7,15 +7,19 @@ of languages votes.  All machines minimise the squared hinge loss with L2
 regularisation by accelerated gradient descent, on labelled documents only.
 
 The classifier is fitted on a bounded sample: at most ``SAMPLE_ROWS`` labelled
-documents in all, the same number for each language, chosen by a hash of the
-id.  Features are computed from whole texts, for the sample and for prediction.
+documents in all, the same number for each language, chosen by a hash of id and
+text (repeated rows count once).  At most ``LANGUAGES`` languages are learned,
+those with the most documents.  Before the choice, each language's rows are cut by
+a hash threshold to little more than are wanted, so no task gets all rows of
+one.  Features are computed from whole texts, for the sample and for prediction.
 The fitted weights (``FEATURES`` floats for each family and pair) go to the
 tasks with the prediction function.
 
 Language, source and id are never inputs of a prediction.  The score is the
 family's probability times the mean pairwise probability, from 0 to 1.
 
-Defined cases: null texts and texts without letters are ``und`` with score 0.
+Defined cases: null texts and texts without letters (Unicode category L) are
+``und`` with score 0.
 Without any labelled training document every text is ``und`` with score 0; with
 one language that language is predicted with score 1.  Ties go to the
 language that sorts first.  A null doc_id counts as the empty text when the
@@ -24,12 +28,12 @@ held-out third is chosen.  An empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +41,7 @@ from .common import text_groups
 
 FEATURES = 2048
 SAMPLE_ROWS = 4_000
+LANGUAGES = 256
 STEPS = 150
 L2 = 1e-4
 PREDICT_ROWS = 1_000
@@ -57,7 +62,7 @@ FAMILIES = {
     "semitic": ("ar", "he", "mt", "am"),
 }
 _FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes}
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def family_of(lang: str) -> str:
@@ -164,14 +169,22 @@ class Model:
 
 def fit(docs: DataFrame) -> Model:
     """Fit on a sample of the labelled documents that are not held out."""
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    n_langs = labelled.select("lang").distinct().count()
-    per_lang = SAMPLE_ROWS // max(1, n_langs)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # Chosen by id first, so that only the sample's texts are shuffled.
-    chosen = (labelled.select("lang", "doc_id").withColumn("_r", F.row_number().over(order))
-                      .where(F.col("_r") <= per_lang).select("doc_id").distinct())
-    sample = labelled.join(F.broadcast(chosen), "doc_id", "left_semi").select("text", "lang")
+    labelled = (docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+                    .select("lang", "text", F.xxhash64("doc_id", "text").alias("_k")))
+    counts = (labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("_k").alias("distinct"))
+                      .orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect())
+    per_lang = SAMPLE_ROWS // max(1, len(counts))
+    # Of a language's distinct rows, about those wanted and a margin pass its threshold.
+    wanted = 1.3 * per_lang + 8 * per_lang**0.5 + 40
+    spark = docs.sparkSession
+    shares = spark.createDataFrame([(r["lang"], min(1.0, wanted / max(1, r["distinct"]))) for r in counts], "lang string, _share double")
+    order = Window.partitionBy("lang").orderBy("_k")
+    chosen = (labelled.select("lang", "_k").join(F.broadcast(shares), "lang")
+                      .where(F.pmod("_k", F.lit(1 << 31)) < F.col("_share") * (1 << 31)).select("lang", "_k").distinct()
+                      .withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= per_lang).select("lang", "_k"))
+    # Chosen by key first, so that only the sample's texts are shuffled, each once.
+    sample = (labelled.join(F.broadcast(chosen), ["lang", "_k"], "left_semi")
+                      .groupBy("lang", "_k").agg(F.min("text").alias("text")).select("text", "lang"))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -25,10 +25,11 @@ Encoding: the tokenizer's pre-tokenizer cuts a text into pieces that its model
 encodes independently.  For texts of the plain alphabet (``_PLAIN``: ASCII
 without the apostrophe and control characters, and Latin letters up to U+027F)
 the cuts are computed for many texts at once, and each distinct piece is
-encoded by the library's model once per worker and kept in a bounded cache.
-All other texts are encoded whole by the library.  Both give the ids of
-``encode(text, add_special_tokens=False)`` with special tokens' strings read
-as ordinary text.
+encoded by the library's model once per worker and kept in a bounded cache of
+flat arrays.  Pieces are found by hash and compared byte by byte, with their
+like in the batch and with the cached one.  All other texts, and those that hold
+the string of an added token, are encoded whole by the library.  Both give the
+ids of ``encode(text, add_special_tokens=False)``.
 
 Defined cases: a null or empty text is the end id alone.  Null doc_ids come
 first and are reached by position, not by key.  Rows with the same doc_id are
@@ -58,7 +59,9 @@ END_ID = 0
 SEGMENT_IDS = 2_000_000
 ROWS_PER_SHARD = 5_000
 #: Distinct pieces a worker keeps; the cache starts afresh beyond it.
-CACHE_PIECES = 250_000
+CACHE_PIECES = 1_000_000
+#: Bytes of a piece kept as two words; longer pieces are kept as they are.
+_SHORT = 16
 
 SEGMENT_SCHEMA = ("shard int, seq int, first_key long, last_key long, n_docs int, n_ids long, id_bytes int, "
                   "payload binary, ends binary, n_null int, keys binary, mph binary, prints binary, rows binary")
@@ -113,6 +116,14 @@ def piece_starts(data: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def _heads(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """(pieces, 2): the first 16 bytes of each piece, zeros beyond its end."""
+    padded = np.concatenate((data, np.zeros(_SHORT, np.uint8)))
+    at = np.lib.stride_tricks.sliding_window_view(padded, _SHORT)[starts]
+    at = np.where(np.arange(_SHORT) < (ends - starts)[:, None], at, np.uint8(0))
+    return np.ascontiguousarray(at).view(np.uint64)
+
+
 def _byte_names() -> dict[int, str]:
     """The byte-level alphabet: printable bytes stand for themselves, the
     others for the characters from U+0100 on."""
@@ -129,46 +140,73 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.names = _byte_names()
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[int, int] = {}
-        self.flat = np.empty(1 << 16, np.uint32)
-        self.start = np.zeros(1 << 15, np.int64)
-        self.used = 0
-
-    def _add(self, key: int, piece: bytes) -> int:
-        tokens = self.tokenizer.model.tokenize(piece.decode("latin-1").translate(self.names))
-        at, end = len(self.known), self.used + len(tokens)
-        if end > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.empty(len(self.flat) + len(tokens), np.uint32)))
-        if at + 2 > len(self.start):
-            self.start = np.concatenate((self.start, np.zeros_like(self.start)))
-        self.flat[self.used : end] = [t.id for t in tokens]
-        self.start[at], self.start[at + 1] = self.used, end
-        self.used = end
-        self.known[key] = at
-        return at
-
-    def _encode_plain(self, texts: list[bytes]) -> list[np.ndarray]:
+        # By hash, ascending: the piece's number.  By number: first bytes, length, ids.
+        self.hashes, self.numbers = np.empty(0, np.uint64), np.empty(0, np.int32)
+        self.heads, self.sizes = np.zeros((1 << 12, 2), np.uint64), np.zeros(1 << 12, np.int64)
+        self.start, self.flat = np.zeros((1 << 12) + 1, np.int64), np.empty(1 << 14, np.uint32)
+        self.long: dict[int, bytes] = {}
+        self.count = 0
+
+    def _add(self, hashes: np.ndarray, heads: np.ndarray, pieces: list[bytes]) -> np.ndarray:
+        """Encode new pieces; their numbers."""
+        tokenize, names = self.tokenizer.model.tokenize, self.names
+        ids = [[t.id for t in tokenize(p.decode("latin-1").translate(names))] for p in pieces]
+        at, end = self.count, self.count + len(pieces)
+        if end > len(self.sizes):
+            more = max(end, 2 * len(self.sizes))
+            self.heads, self.sizes, self.start = (np.concatenate((x, np.zeros((more - len(self.sizes), *x.shape[1:]), x.dtype)))
+                                                  for x in (self.heads, self.sizes, self.start))
+        self.heads[at:end], self.sizes[at:end] = heads, [len(p) for p in pieces]
+        self.start[at + 1 : end + 1] = self.start[at] + np.cumsum([len(i) for i in ids])
+        used = int(self.start[end])
+        if used > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.empty(max(used, 2 * len(self.flat)) - len(self.flat), np.uint32)))
+        self.flat[self.start[at] : used] = np.fromiter((x for i in ids for x in i), np.uint32, used - int(self.start[at]))
+        self.long |= {at + k: p for k, p in enumerate(pieces) if len(p) > _SHORT}
+        own = np.arange(at, end, dtype=np.int32)
+        place = np.searchsorted(self.hashes, hashes)
+        self.hashes, self.numbers = np.insert(self.hashes, place, hashes), np.insert(self.numbers, place, own)
+        self.count = end
+        return own
+
+    def _encode_plain(self, texts: list[bytes]) -> list[np.ndarray] | None:
+        """Ids of plain texts; None if two different pieces have one hash."""
         raw = b"".join(texts)
         data = np.frombuffer(raw, np.uint8)
-        sizes = np.array([len(t) for t in texts])
-        begins = np.cumsum(sizes) - sizes
+        lengths = np.array([len(t) for t in texts])
+        begins = np.cumsum(lengths) - lengths
         starts = piece_starts(data, begins)
         ends = np.append(starts[1:], len(data))
+        sizes, heads = ends - starts, _heads(data, starts, ends)
         distinct, example, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.known) + len(distinct) > CACHE_PIECES:
+        like = example[inverse]
+        if (heads != heads[like]).any() or (sizes != sizes[like]).any():
+            return None
+        cut = lambda i: raw[starts[i] : ends[i]]
+        if any(cut(i) != cut(like[i]) for i in np.flatnonzero(sizes > _SHORT)):
+            return None
+        if self.count + len(distinct) > CACHE_PIECES:
             self._clear()
-        keys = distinct.tolist()
-        at = [self.known.get(k, -1) for k in keys]
-        for i in (i for i, a in enumerate(at) if a < 0):
-            e = example[i]
-            at[i] = self._add(keys[i], raw[starts[e] : ends[e]])
-        piece = np.array(at, np.int64)[inverse]
+        place = np.searchsorted(self.hashes, distinct)
+        hit = place < len(self.hashes)
+        hit[hit] = self.hashes[place[hit]] == distinct[hit]
+        number = np.empty(len(distinct), np.int64)
+        number[hit] = self.numbers[place[hit]]
+        known, own = number[hit], example[hit]
+        if (self.heads[known] != heads[own]).any() or (self.sizes[known] != sizes[own]).any():
+            return None
+        if any(self.long[n] != cut(i) for n, i in zip(known[sizes[own] > _SHORT].tolist(), own[sizes[own] > _SHORT].tolist())):
+            return None
+        new = np.flatnonzero(~hit)
+        if len(new):
+            number[new] = self._add(distinct[new], heads[example[new]], [cut(i) for i in example[new].tolist()])
+        piece = number[inverse]
         count = self.start[piece + 1] - self.start[piece]
         upto = np.cumsum(count)
         ids = self.flat[np.repeat(self.start[piece] - (upto - count), count) + np.arange(upto[-1])]
@@ -176,6 +214,9 @@ class Encoder:
         bounds = np.concatenate(([0], upto))[np.searchsorted(starts, begins)]
         return np.split(ids, bounds[1:])
 
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """uint32 ids of each text (none for a null or empty one)."""
         out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(texts)
@@ -184,12 +225,13 @@ class Encoder:
             for i, t in enumerate(group):
                 if not t:
                     continue
-                if _plain(np.frombuffer(t, np.uint8)).all():
+                if _plain(np.frombuffer(t, np.uint8)).all() and not any(a in t for a in self.added):
                     plain.append(i)
                 else:
-                    out[first + i] = np.array(self.tokenizer.encode(texts[first + i], add_special_tokens=False).ids, np.uint32)
+                    out[first + i] = self._whole(texts[first + i])
             if plain:
-                for i, ids in zip(plain, self._encode_plain([group[i] for i in plain])):
+                found = self._encode_plain([group[i] for i in plain]) or [self._whole(texts[first + i]) for i in plain]
+                for i, ids in zip(plain, found):
                     out[first + i] = ids
         return out
 

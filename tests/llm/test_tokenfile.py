@@ -19,17 +19,35 @@ SF = "/root/testdata/sf0.01"
 @pytest.fixture(scope="module")
 def whole():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda texts: [e.ids for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.text(alphabet=st.sampled_from(list("abAB 12.,!?_-'\n\t éüß×÷ɏʰ日\x85\xa0\x1c|")), max_size=30), min_size=1, max_size=5))
+@given(st.lists(st.text(alphabet=st.sampled_from(list("<>abAB 12.,!?_-'\n\t éüß×÷ɏʰ日\x85\xa0\x1c|")), max_size=30), min_size=1, max_size=5))
 def test_pieces_give_the_library_ids(whole, texts):
     got = tokenfile.encoder(PATH).encode(texts)
     assert [g.tolist() for g in got] == whole(texts)
 
 
+def test_strings_of_added_tokens(whole):
+    """They are the token's id, in plain texts and others."""
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "it's <|endoftext|>", "a<|endoftext|>b<|endoftext|>", "<|endoftext", "hello world"]
+    got = [g.tolist() for g in tokenfile.Encoder(PATH).encode(texts)]
+    assert got == whole(texts) and got[0] == [31373, 220, 50256, 995]
+
+
+@pytest.mark.parametrize("bits", [3, 9])
+def test_pieces_of_one_hash(whole, monkeypatch, bits):
+    """Different pieces with one hash, in a batch and across batches, keep their ids."""
+    real = tokenfile.span_hashes
+    monkeypatch.setattr(tokenfile, "span_hashes", lambda *a: real(*a) >> np.uint64(64 - bits))
+    enc = tokenfile.Encoder(PATH)
+    texts = [f"w{i}" for i in range(60)] + ["a longer-than-sixteen incomprehensibilities incomprehensibilitiez", "incomprehensibilitiez"]
+    for t in texts + texts:
+        assert enc.encode([t])[0].tolist() == whole([t])[0]
+    assert [g.tolist() for g in enc.encode(texts)] == whole(texts)
+
+
 def test_cache_starts_afresh(whole, monkeypatch):
     monkeypatch.setattr(tokenfile, "CACHE_PIECES", 50)
     enc = tokenfile.Encoder(PATH)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.sqlexpr import cols, q, sql_flag, sql_ratio, sums
 from ..params import Params
 from .attribution import VISIT_KEYS, conversion_columns
+from .bitmaps import counted, member_bitmaps
 
 # Report keys of the per-event-day table (the source's base_0 grain; the
 # label column store_id_store_name is derived from two of them).
@@ -60,29 +61,37 @@ def participation_groups(rows: DataFrame, keys: Sequence[str] = GROUP_KEYS_0) ->
     return rows.groupBy(*keys, "member_key").agg(F.count(F.lit(1)).alias("mult"))
 
 
-def _participant_flags(params: Params, with_coupon: bool) -> dict[str, str]:
+def _participant_conditions(params: Params, with_coupon: bool) -> dict[str, str]:
     out = {
-        "f_sched": f"max({sql_flag(f'{KNOWN} AND source_type = {params.source_reserved}')})",
-        "f_walk": f"max({sql_flag(f'{KNOWN} AND source_type = {params.source_walk_in}')})",
-        "f_part": f"max({sql_flag(KNOWN)})",
-        "f_new": f"max({sql_flag(f'{KNOWN} AND new_member_tag = 1')})",
-        "f_ex": f"max({sql_flag(f'{KNOWN} AND new_member_tag = 0')})",
+        "f_sched": f"{KNOWN} AND source_type = {params.source_reserved}",
+        "f_walk": f"{KNOWN} AND source_type = {params.source_walk_in}",
+        "f_part": KNOWN,
+        "f_new": f"{KNOWN} AND new_member_tag = 1",
+        "f_ex": f"{KNOWN} AND new_member_tag = 0",
     }
     if with_coupon:
-        out["f_red"] = f"max({sql_flag(f'{KNOWN} AND redeemed_coupon = 1')})"
+        out["f_red"] = f"{KNOWN} AND redeemed_coupon = 1"
     return out
 
 
+def _participant_flags(params: Params, with_coupon: bool) -> dict[str, str]:
+    return {name: f"max({sql_flag(cond)})" for name, cond in _participant_conditions(params, with_coupon).items()}
+
+
 def participation_metrics(rows: DataFrame, keys: Sequence[str] = BASE_KEYS, with_coupon: bool = False,
                           params: Params = Params()) -> DataFrame:
     """Distinct members per report key: reserved and attended, walk-in, all,
     new, existing (and coupon redeemers).  ``rows`` are participation rows
     with ``event_dt``; duplicates do not matter."""
     src = rows.withColumnRenamed("event_dt", "date_id") if "event_dt" in rows.columns else rows
-    per_member = src.groupBy(*keys, "member_id").agg(*cols(_participant_flags(params, with_coupon)))
     counts = list(PARTICIPANT_COUNTS)
     if with_coupon:
         counts.append(("ttl_redeemed_recruitment_bags", "f_red"))
+    if params.distinct == "bitmap":
+        conditions = _participant_conditions(params, with_coupon)
+        names = [name for name, _ in counts]
+        return counted(member_bitmaps(src, keys, "member_id", {name: conditions[f] for name, f in counts}), keys, names)
+    per_member = src.groupBy(*keys, "member_id").agg(*cols(_participant_flags(params, with_coupon)))
     return per_member.groupBy(*keys).agg(*cols({name: f"sum({f})" for name, f in counts}))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import Params
+from .bitmaps import counted, member_bitmaps
 
 RESERVATION_KEYS = ("campaign_code", "partner", "store_id", "event_id")
 
@@ -24,11 +25,14 @@ def count_reservations(reservation: DataFrame, params: Params = Params()) -> Dat
         (F.col("res_status") != params.cancelled_status)
         & (F.col("source_type") == params.source_reserved)
     )
-    pairs = live.select(
+    named = live.select(
         "campaign_code",
         F.col("agent_id").alias("partner"),
         F.col("store_code").alias("store_id"),
         "event_id",
         "type_value",
-    ).distinct()
+    )
+    if params.distinct == "bitmap":
+        return counted(member_bitmaps(named, RESERVATION_KEYS, "type_value", {"ttl_reservations": "true"}), RESERVATION_KEYS, ["ttl_reservations"])
+    pairs = named.distinct()
     return pairs.groupBy(*RESERVATION_KEYS).agg(F.count("type_value").alias("ttl_reservations"))

@@ -73,6 +73,11 @@ class Params:
     # with before their first shuffle, in bits (16 a member are wanted; a filter
     # that would let half of the others through is left out).  0: no filter.
     member_filter_max_bits: int = 1 << 27
+    # Windowed attribution: "join" (bucketed range join) or "sweep" (one sorted
+    # pass with range frames).  Distinct members: "rows" (a row per member) or
+    # "bitmap" (a bitmap per 32,768 member numbers).  Same results.
+    attribution: str = "join"
+    distinct: str = "rows"
 
     def __post_init__(self) -> None:
         if not self.windows or min(self.windows) < 0:
@@ -81,6 +86,8 @@ class Params:
             raise ValueError("bucket_days must be at least the largest window")
         if self.on_bad_id not in ("raise", "null"):
             raise ValueError("on_bad_id must be 'raise' or 'null'")
+        if self.attribution not in ("join", "sweep") or self.distinct not in ("rows", "bitmap"):
+            raise ValueError("attribution must be 'join' or 'sweep', distinct 'rows' or 'bitmap'")
 
     @property
     def max_window(self) -> int:

@@ -16,6 +16,7 @@ from ..operators.metrics import BASE_KEYS, participation_groups, participation_m
 from ..operators.participations import main_stores, participation_rows, visit_keys
 from ..operators.reservations import count_reservations
 from ..operators.rollups import at_stores, daily_activity
+from ..operators.sweep import visit_window_sweep
 from ..params import Params
 from ..session import stored
 from ..sources.schemas import SCHEMAS
@@ -112,7 +113,8 @@ def attributed_groups(src: Sources, params: Params = Params(), prepared: Prepare
     prepared = prepared or prepare(src, params)
     groups = participation_groups(participation_rows(prepared.src, params, "main"))
     daily = daily_activity(visitors_orders(prepared, params), params)
-    return with_window_stats(groups, visit_window_stats(prepared.visits, daily, params))
+    stats = visit_window_stats if params.attribution == "join" else visit_window_sweep
+    return with_window_stats(groups, stats(prepared.visits, daily, params))
 
 
 def campaign_performance(src: Sources, params: Params = Params(), prepared: Prepared | None = None) -> DataFrame:

@@ -9,20 +9,29 @@ P(class | state) * (c + 1) / (N + V + 1) over the class's training tokens N and
 distinct words V for the others, which leaves one share for unknown words.
 Probabilities add up to one over the training vocabulary and "unknown".
 
+Blocks.  Texts are tokenised once, into blocks of about ``BLOCK_BYTES`` of text
+(a longer document is a block of its own) stored in the shared folder: the
+block's distinct word hashes, and each token's place among them.  Counting,
+training and scoring read the blocks.
+
 Network.  One gated recurrent layer reads the class (tail) or word (head) of the
 previous token.  Output biases start at the corpus frequencies.  Every training
 document is learned from its first token to its last, once: window by window,
 with gradients truncated at the window and the state carried into the next one.
-Up to ``TRAIN_ROWS`` documents run side by side; where one ends, the next takes
-its row with an empty state.  Tasks train in parallel on their own documents,
-and their weights are averaged by the number of tokens, in ``ROUNDS`` rounds of
-which each takes another part of the documents; training work grows with the
-number of tokens.
-
-Scoring.  The documents of a batch are run side by side, window by window, with
+Up to ``TRAIN_ROWS`` documents run side by side, a few long ones of those at hand
+first; where one ends, the next takes its row with an empty state.  A window has
+``WINDOW`` steps, and more while few documents run (up to ``LONG_WINDOW``), so
+that it holds about as many tokens.  Tasks train in parallel on their own
+documents, about ``TASK_TOKENS`` tokens each, and their weights are averaged by the
+number of tokens (in groups of ``AVERAGED`` until few are left), in ``ROUNDS``
+rounds of which each takes another part of the documents.  Training work grows
+with the number of tokens.  How blocks fall to tasks depends on the cluster's
+partitions, and scores on that a little.
+
+Scoring.  The documents of a block are run side by side, window by window, with
 the state carried to the end of each document.  Counts come from the whole
-training corpus: each batch asks for its distinct words once, so a frequent word
-is one row a batch.  The driver holds the head words, the class sums and the
+training corpus: each block asks for its distinct words once, so a frequent word
+is one row a block.  The driver holds the head words, the class sums and the
 weights, all of fixed size.
 
 Defined cases: a null or empty text is the end token alone.  Without training
@@ -39,6 +48,7 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,9 +59,14 @@ from .words import word_hashes, word_suffixes
 HEAD, CLASS_WORDS, TAIL = 1024, 32, 32
 EMBED, HIDDEN = 16, 16
 WINDOW, ROUNDS = 32, 2
+LONG_WINDOW = 512
 TRAIN_ROWS, SCORE_ROWS = 128, 512
 RATE = 0.02
-BATCH_DOCS = 6_000
+BLOCK_BYTES = 4 << 20
+TASK_TOKENS = 8_000_000
+#: Tokens of the documents that a training task looks ahead over, and how many of them it starts early.
+SORTED_TOKENS, EARLY = 4_000_000, 32
+AVERAGED = 64
 #: Stands for the end of a document among the word hashes.
 END_HASH = np.uint64(0x1D8AF066E0D5A1C3)
 _HEAD_CLASSES = HEAD // CLASS_WORDS
@@ -71,17 +86,64 @@ def tokens(group: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.insert(words, at, END_HASH), np.insert(tails, at, 0), begin
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, tail, c) over all tokens of ``docs``."""
+BLOCK_SCHEMA = "block long, ids array<string>, held array<boolean>, part array<int>, begins binary, words binary, tails binary, places binary"
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def token_blocks(docs: DataFrame) -> DataFrame:
+    """The blocks of ``docs`` (doc_id, text): of each document its id, whether it
+    is held out, its training round and its first token; of the block its
+    distinct words with their tail classes, and the place of each token among them."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number = TaskContext.get().partitionId() << 32
         for pdf in batches:
-            for _, group in text_groups(list(pdf["text"]), 1 << 24):
-                words, tails, _ = tokens(group)
-                distinct, where, c = np.unique(words, return_index=True, return_counts=True)
-                yield pd.DataFrame({"word": to_long(distinct), "tail": tails[where], "c": c})
+            for first, group in text_groups(list(pdf["text"]), BLOCK_BYTES):
+                own = pdf.iloc[first : first + len(group)]
+                words, tails, begins = tokens(group)
+                distinct, where, places = np.unique(words, return_index=True, return_inverse=True)
+                yield pd.DataFrame([{
+                    "block": number, "ids": own["doc_id"].tolist(), "held": own["held"].tolist(), "part": own["part"].tolist(),
+                    "begins": begins.astype(np.int64).tobytes(), "words": distinct.tobytes(), "tails": tails[where].astype(np.int8).tobytes(),
+                    "places": places.astype(np.uint32).tobytes()}])
+                number += 1
+
+    round_of = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(ROUNDS)).cast("int")
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), held_out(F.col("doc_id")).alias("held"), round_of.alias("part"),
+                       "text").mapInPandas(cut, BLOCK_SCHEMA)
+
+
+class Block:
+    """One block's arrays."""
+
+    def __init__(self, row):
+        self.begins, self.words = np.frombuffer(row["begins"], np.int64), np.frombuffer(row["words"], np.uint64)
+        self.tails, self.places = np.frombuffer(row["tails"], np.int8), np.frombuffer(row["places"], np.uint32)
+        self.held, self.part = np.asarray(row["held"], bool), np.asarray(row["part"], np.int64)
+
+
+def _rows(batches: Iterator[pd.DataFrame]) -> Iterator:
+    for pdf in batches:
+        yield from (row for _, row in pdf.iterrows())
 
-    return docs.select("text").mapInPandas(count, "word long, tail int, c long").groupBy("word", "tail").agg(F.sum("c").alias("c"))
+
+def block_counts(blocks: DataFrame, held: bool = False) -> DataFrame:
+    """(word, tail, c) over the tokens of the documents not held out, or of all."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for row in _rows(batches):
+            b = Block(row)
+            taken = np.repeat(~b.held | held, np.diff(b.begins))
+            c = np.bincount(b.places[taken], minlength=len(b.words))
+            seen = np.flatnonzero(c)
+            yield pd.DataFrame({"word": to_long(b.words[seen]), "tail": b.tails[seen].astype(np.int32), "c": c[seen]})
+
+    return blocks.select("held", "part", "begins", "words", "tails", "places").mapInPandas(count, "word long, tail int, c long").groupBy(
+        "word", "tail").agg(F.sum("c").alias("c"))
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, tail, c) over all tokens of ``docs``."""
+    return block_counts(token_blocks(docs.select(F.lit(0).cast("long").alias("doc_id"), "text")), held=True)
 
 
 class Vocabulary:
@@ -165,9 +227,13 @@ class Network:
         net.wv[:] *= 0.1
         return net
 
-    def run(self, x: np.ndarray, h: np.ndarray, keep: list | None = None) -> np.ndarray:
+    def inputs(self) -> np.ndarray:
+        """What each input adds to the gates."""
+        return self.embed @ self.wx + self.b
+
+    def run(self, x: np.ndarray, h: np.ndarray, keep: list | None = None, table: np.ndarray | None = None) -> np.ndarray:
         """States after each of the inputs ``x`` (steps, rows), from ``h``."""
-        table = self.embed @ self.wx + self.b
+        table = self.inputs() if table is None else table
         states = np.empty((len(x), len(h), HIDDEN), np.float32)
         for t in range(len(x)):
             gx, gh = table[x[t]], h @ self.u
@@ -243,7 +309,40 @@ class Network:
         return grad.flat, states[-1]
 
 
+def _long_ones_first(documents: Iterator[np.ndarray]) -> Iterator[np.ndarray]:
+    """The documents as they come, but the ``EARLY`` longest of every
+    ``SORTED_TOKENS`` first, so that long ones do not run alone in the end."""
+
+    def ordered(held: list[np.ndarray]) -> Iterator[np.ndarray]:
+        early = sorted(range(len(held)), key=lambda k: (-len(held[k]), k))[:EARLY]
+        yield from (held[k] for k in early)
+        rest = np.setdiff1d(np.arange(len(held)), early)
+        yield from (held[k] for k in rest)
+
+    held, size = [], 0
+    for d in documents:
+        held.append(d)
+        size += len(d)
+        if size >= SORTED_TOKENS:
+            yield from ordered(held)
+            held, size = [], 0
+    yield from ordered(held)
+
+
 def _train(net: Network, vocabulary: Vocabulary, batches: Iterator[pd.DataFrame]) -> tuple[np.ndarray, int]:
+    """``_train_documents`` on the texts of ``batches``."""
+
+    def documents() -> Iterator[np.ndarray]:
+        for pdf in batches:
+            for _, group in text_groups(list(pdf["text"])):
+                words, tails, at = tokens(group)
+                ids = vocabulary.ids(words, tails).astype(np.int16)
+                yield from (ids[a:b] for a, b in zip(at[:-1], at[1:]))
+
+    return _train_documents(net, vocabulary, documents())
+
+
+def _train_documents(net: Network, vocabulary: Vocabulary, documents: Iterator[np.ndarray]) -> tuple[np.ndarray, int]:
     """Adam steps over the whole of one task's documents; weights and number of tokens.
 
     When few documents are left, windows hold few tokens; a step waits until
@@ -254,34 +353,26 @@ def _train(net: Network, vocabulary: Vocabulary, batches: Iterator[pd.DataFrame]
     grad, held = np.zeros_like(net.flat), 0
     h = np.zeros((0, HIDDEN), np.float32)
     rows: list[np.ndarray] = []  # what is left of each running document, after the token read last
-
-    def documents() -> Iterator[np.ndarray]:
-        for pdf in batches:
-            for _, group in text_groups(list(pdf["text"])):
-                words, tails, at = tokens(group)
-                ids = vocabulary.ids(words, tails).astype(np.int16)
-                for a, b in zip(at[:-1], at[1:]):
-                    yield np.concatenate(([end], ids[a:b])).astype(np.int16)
-
-    waiting = documents()
+    waiting = (np.concatenate(([end], d)).astype(np.int16) for d in _long_ones_first(documents))
     while True:
         new = list(islice(waiting, TRAIN_ROWS - len(rows)))
         rows += new
         h = np.concatenate((h, np.zeros((len(new), HIDDEN), np.float32)))
         if rows:
             length = np.array([len(r) - 1 for r in rows])
-            table = np.full((len(rows), WINDOW + 1), end, np.int64)
+            span = int(min(max(1, length.max()), max(WINDOW, min(LONG_WINDOW, WINDOW * TRAIN_ROWS // len(rows)))))
+            table = np.full((len(rows), span + 1), end, np.int64)
             for j, row in enumerate(rows):
-                part = row[: WINDOW + 1]
+                part = row[: span + 1]
                 table[j, : len(part)] = part
-            mask = np.arange(WINDOW)[:, None] < length[None, :]
+            mask = np.arange(span)[:, None] < length[None, :]
             own, h = net.gradient(table[:, :-1].T, table[:, 1:].T, mask, h)
             n = int(mask.sum())
             grad += own * n
             held += n
             learned += n
-            live = np.flatnonzero(length > WINDOW)
-            rows, h = [rows[j][WINDOW:] for j in live], h[live]
+            live = np.flatnonzero(length > span)
+            rows, h = [rows[j][span:] for j in live], h[live]
         if held >= TRAIN_ROWS * WINDOW // 2 or (held and not rows and not new):
             grad /= held
             step += 1
@@ -293,24 +384,44 @@ def _train(net: Network, vocabulary: Vocabulary, batches: Iterator[pd.DataFrame]
             return net.flat, learned
 
 
-def fit(docs: DataFrame, vocabulary: Vocabulary) -> Network:
-    """Train on ``docs`` (doc_id, text) by rounds of parallel descent."""
+def _averaged(weights: DataFrame, count: int) -> np.ndarray | None:
+    """The mean of the tasks' weights (columns task, sums, n), weighed by n."""
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(w, np.float64) for w in pdf["sums"])
+        return pd.DataFrame([{"task": pdf["task"].iloc[0], "sums": total.tobytes(), "n": pdf["n"].sum()}])
+
+    while count > AVERAGED:
+        count = -(-count // AVERAGED)
+        weights = stored(weights.withColumn("task", F.pmod("task", F.lit(count))).groupBy("task").applyInPandas(add, weights.schema), "lm-weights")
+    rows = sorted(weights.collect(), key=lambda r: r["task"])
+    if not rows:
+        return None
+    return (sum(np.frombuffer(r["sums"], np.float64) for r in rows) / sum(r["n"] for r in rows)).astype(np.float32)
+
+
+def fit(blocks: DataFrame, vocabulary: Vocabulary) -> Network:
+    """Train on the documents of ``blocks`` not held out by rounds of parallel descent."""
     net = Network.start(vocabulary)
-    for part in range(ROUNDS):
+    tasks = max(1, -(-int(vocabulary.total) // TASK_TOKENS))
+    merged = blocks.select("held", "part", "begins", "words", "tails", "places").coalesce(tasks)
+    for turn in range(ROUNDS):
         flat = net.flat
 
-        def train(batches: Iterator[pd.DataFrame], flat: np.ndarray = flat) -> Iterator[pd.DataFrame]:
-            weights, learned = _train(Network(flat.copy()), vocabulary, batches)
+        def train(batches: Iterator[pd.DataFrame], flat: np.ndarray = flat, turn: int = turn) -> Iterator[pd.DataFrame]:
+            def documents() -> Iterator[np.ndarray]:
+                for row in _rows(batches):
+                    b = Block(row)
+                    ids = vocabulary.ids(b.words, b.tails).astype(np.int16)[b.places]
+                    yield from (ids[b.begins[k] : b.begins[k + 1]].copy() for k in np.flatnonzero(~b.held & (b.part == turn)))
+
+            weights, learned = _train_documents(Network(flat.copy()), vocabulary, documents())
             if learned:
-                yield pd.DataFrame({"i": np.arange(len(weights), dtype=np.int32), "v": weights.astype(np.float64) * learned, "n": learned})
-
-        own = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(ROUNDS)) == part)
-        mean = (own.select("text").mapInPandas(train, "i int, v double, n long")
-                   .groupBy("i").agg((F.sum("v") / F.sum("n")).alias("v")).collect())
-        if mean:
-            flat = np.empty(len(net.flat), np.float32)
-            flat[[r["i"] for r in mean]] = [r["v"] for r in mean]
-            net = Network(flat)
+                yield pd.DataFrame([{"task": TaskContext.get().partitionId(), "sums": (weights.astype(np.float64) * learned).tobytes(), "n": learned}])
+
+        mean = _averaged(stored(merged.mapInPandas(train, "task long, sums binary, n long"), "lm-weights"), tasks)
+        if mean is not None:
+            net = Network(mean)
     return net
 
 
@@ -318,78 +429,66 @@ def _score_rows(net: Network, ids: list[np.ndarray], end: int) -> np.ndarray:
     """Natural log of the network's part for whole documents, run side by side."""
     out = np.zeros(len(ids))
     order = np.argsort([-len(x) for x in ids], kind="stable")
+    inputs = net.inputs()
     for i in range(0, len(order), SCORE_ROWS):
         rows = order[i : i + SCORE_ROWS]
         length = np.array([len(ids[r]) for r in rows])
         h = np.zeros((len(rows), HIDDEN), np.float32)
         last = np.full(len(rows), end, np.int64)
-        for w in range(0, length[0], WINDOW):
+        w = 0
+        while w < length[0]:
             live = int(np.searchsorted(-length, -w))  # documents longer than w
-            span = min(WINDOW, length[0] - w)
+            span = int(min(length[0] - w, max(WINDOW, min(LONG_WINDOW, WINDOW * SCORE_ROWS // live))))
             y = np.full((span, live), end, np.int64)
             for j in range(live):
                 part = ids[rows[j]][w : w + span]
                 y[: len(part), j] = part
             x = np.concatenate((last[None, :live], y[:-1]))
-            states = net.run(x, h[:live])
+            states = net.run(x, h[:live], table=inputs)
             valid = np.arange(w, w + span)[:, None] < length[None, :live]
             value = np.zeros((span, live))
             value[valid] = net.log_probability(states[valid], y[valid])
             out[rows[:live]] += value.sum(axis=0)
             h, last = states[-1], y[-1]
+            w += span
     return out
 
 
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    docs = docs.select("doc_id", "text")
-    learned = docs.where(~held_out(F.col("doc_id")))
-    counts = stored(word_counts(learned), "lm-counts")
+    blocks = stored(token_blocks(docs.select("doc_id", "text")), "lm-blocks")
+    counts = stored(block_counts(blocks), "lm-counts")
     vocabulary = Vocabulary(counts)
-    net = fit(learned, vocabulary)
+    net = fit(blocks, vocabulary)
     total, distinct = int(vocabulary.total), int(vocabulary.distinct)
 
-    n_batches = max(1, -(-docs.count() // BATCH_DOCS))
-    dealt = docs.withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(n_batches)))
-
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for batch, own in pdf.groupby("batch"):
-                for _, group in text_groups(list(own["text"]), 1 << 24):
-                    yield pd.DataFrame({"batch": batch, "word": to_long(np.unique(tokens(group)[0]))})
-
-    asked = dealt.select("batch", "text").mapInPandas(ask, "batch long, word long").distinct()
-    answers = asked.join(counts.select("word", "c"), "word").select("batch", "word", "c")
-
-    def judge(texts: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        order = np.argsort(known["word"].to_numpy(np.int64).view(np.uint64))
-        word = known["word"].to_numpy(np.int64).view(np.uint64)[order]
-        c_of = np.append(known["c"].to_numpy(np.int64)[order], 0)
-        out, part, network_ids = [], [], []
-        base_log = np.log10(float(total + distinct + 1))
-        for begin, group in text_groups(list(texts["text"])):
-            words, tails, at = tokens(group)
-            place = np.searchsorted(word, words)
-            missing = place == len(word)
-            place[missing] = 0
-            c = np.where(missing | (word[place] != words), 0, c_of[place]) if len(word) else np.zeros(len(words), np.int64)
-            ids = vocabulary.ids(words, tails)
-            log_c = np.log10(c + 1.0)
-            rest = np.where(ids >= HEAD, log_c - np.log10(vocabulary.tail_tokens + vocabulary.tail_words + 1)[tails], 0.0)
-            size = np.diff(at)
-            frame = pd.DataFrame({
-                "n_tokens": size, "n_known": np.add.reduceat(c > 0, at[:-1], dtype=np.int64),
-                "base_score": np.add.reduceat(log_c, at[:-1]) - size * base_log, "rest": np.add.reduceat(rest, at[:-1])})
-            out.append(frame)
-            network_ids += np.split(ids.astype(np.int16), at[1:-1])
-        frame = pd.concat(out, ignore_index=True)
-        frame["score"] = _score_rows(net, network_ids, vocabulary.end) / np.log(10) + frame.pop("rest")
-        frame.insert(0, "doc_id", texts["doc_id"].to_numpy())
-        return frame
-
-    texts = dealt.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "batch")
-    rows = (texts.groupBy("batch").cogroup(answers.groupBy("batch"))
-                 .applyInPandas(judge, "doc_id string, n_tokens long, n_known long, base_score double, score double"))
-    doc_id = F.col("doc_id").cast("long")
-    return rows.select(doc_id.alias("doc_id"), held_out(doc_id).alias("held_out"), "n_tokens", "n_known",
+            for block, words in zip(pdf["block"], pdf["words"]):
+                yield pd.DataFrame({"block": block, "word": np.frombuffer(words, np.int64)})
+
+    asked = blocks.select("block", "words").mapInPandas(ask, "block long, word long")
+    answers = asked.join(counts.select("word", "c"), "word").select("block", "word", "c")
+
+    def judge(block: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        if not len(block):
+            return pd.DataFrame({"doc_id": [], "held_out": [], "n_tokens": [], "n_known": [], "base_score": [], "score": []})
+        row = block.iloc[0]
+        b = Block(row)
+        c = np.zeros(len(b.words), np.int64)
+        c[np.searchsorted(b.words, known["word"].to_numpy(np.int64).view(np.uint64))] = known["c"].to_numpy(np.int64)
+        # By distinct word first, then for each token.
+        ids, tails = vocabulary.ids(b.words, b.tails), b.tails.astype(np.int64)
+        log_c = np.log10(c + 1.0)
+        rest = np.where(ids >= HEAD, log_c - np.log10(vocabulary.tail_tokens + vocabulary.tail_words + 1)[tails], 0.0)
+        size, first = np.diff(b.begins), b.begins[:-1]
+        base = np.add.reduceat(log_c[b.places], first) - size * np.log10(float(total + distinct + 1))
+        network = _score_rows(net, np.split(ids.astype(np.int16)[b.places], first[1:]), vocabulary.end)
+        return pd.DataFrame({
+            "doc_id": row["ids"], "held_out": b.held, "n_tokens": size, "n_known": np.add.reduceat((c > 0)[b.places], first, dtype=np.int64),
+            "base_score": base, "score": network / np.log(10) + np.add.reduceat(rest[b.places], first)})
+
+    rows = (blocks.groupBy("block").cogroup(answers.groupBy("block"))
+                  .applyInPandas(judge, "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double"))
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "n_tokens", "n_known",
                        F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -20,6 +20,7 @@ import datetime as dt
 import sys
 
 from .params import Params
+from .plans.incremental import incremental_campaign_performance
 from .plans.reports import campaign_performance, in_store_activity, prepare
 from .session import drop_stored, get_session
 from .sinks.refresh import Load, refresh_all
@@ -55,6 +56,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--sibling-distributor", default=defaults.sibling_distributor)
     ap.add_argument("--excluded-order-distributor", default=defaults.excluded_order_distributor)
     ap.add_argument("--bucket-days", type=int, default=defaults.bucket_days, help="width of the range join's time buckets")
+    ap.add_argument("--state", default=None, help="folder of the main report's state: only event days whose inputs changed are computed again")
     ap.add_argument("--journal", default=None, help="folder of the load journal, default <warehouse>/_refresh")
     ap.add_argument("--checkpoint-dir", default=None, help="shared folder for intermediates, where spark.checkpoint.dir is unset")
     args = ap.parse_args(argv)
@@ -86,7 +88,13 @@ def main(argv: list[str] | None = None) -> int:
     targets = [(t, build) for t, build in ((args.main_table, campaign_performance), (args.sibling_table, in_store_activity)) if t]
     try:
         prepared = prepare(src, params)
-        loads = [Load(build(src, params, prepared), t, f"{args.location.rstrip('/')}/{t}" if args.location else None) for t, build in targets]
+        loads = []
+        for t, build in targets:
+            if build is campaign_performance and args.state:
+                report, _ = incremental_campaign_performance(src, args.state, params, prepared)
+            else:
+                report = build(src, params, prepared)
+            loads.append(Load(report, t, f"{args.location.rstrip('/')}/{t}" if args.location else None))
         refresh_all(loads, args.journal)
     finally:
         drop_stored(spark)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,10 +26,11 @@ from ..operators.participations import flag_redemption, participation_rows, part
 from ..operators.reservations import count_reservations
 from ..operators.rollups import daily_net_sales, daily_orders
 from ..params import Params
-from ..session import drop_path, stored
+from ..session import drop_path, shared_dir, stored
 from ..sinks.refresh import refresh, scratch_table
 from ..sources import testdata
 from . import lineitem as LI
+from .incremental import incremental_campaign_performance
 from .reports import attributed_groups, campaign_performance, in_store_activity
 
 # Fixed load time of the registered queries, so results are repeatable.
@@ -127,6 +129,25 @@ def q_campaign_performance(spark, sf_dir):
     return campaign_performance(_src(spark, sf_dir), PARAMS)
 
 
+def q_campaign_performance_incremental(spark, sf_dir):
+    """The report by three runs on one state: without the last tenth of the
+    reservations and order lines by day and with some amounts yet to be
+    corrected, then with all inputs, then with nothing changed."""
+    src = _src(spark, sf_dir)
+    days = src.member_order_detail.select(F.unix_date("date_id").alias("d")).agg(F.min("d"), F.max("d")).first()
+    cut = F.date_from_unix_date(F.lit(int(days[1] - (days[1] - days[0]) // 10)))
+    early = dataclasses.replace(
+        src, campaign_reservation=src.campaign_reservation.where(day_of("verification_time") < cut),
+        member_order_detail=src.member_order_detail.where(F.col("date_id") < cut).withColumn(
+            "order_rrp_amt", F.when(F.dayofmonth("date_id") == 11, F.lit(1)).otherwise(F.col("order_rrp_amt")).cast("decimal(18,2)")))
+    folder = f"{shared_dir(spark)}/states/{uuid.uuid4().hex}"
+    for inputs in (early, src, src):
+        report, _ = incremental_campaign_performance(inputs, folder, PARAMS)
+    report = stored(report, "incremental-report")
+    drop_path(spark, folder)
+    return report
+
+
 def q_in_store_activity(spark, sf_dir):
     return in_store_activity(_src(spark, sf_dir), PARAMS)
 
@@ -188,6 +209,7 @@ QUERIES: dict[str, Query] = {
     "conversion_metrics_30d": _conversion_metrics(30),
     "kpi_ratios": q_kpi_ratios,
     "campaign_performance": q_campaign_performance,
+    "campaign_performance_incremental": q_campaign_performance_incremental,
     "in_store_activity": q_in_store_activity,
     "refresh_roundtrip": q_refresh_roundtrip,
     "load_stamp_check": q_load_stamp_check,

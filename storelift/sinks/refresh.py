@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import drop_path, shared_dir
+from .files import names, qualified, read_text, write_text
 
 # Formats of tables that are folders of files.
 FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro", "text")
@@ -85,16 +86,6 @@ def _details(spark: SparkSession, table: str) -> dict[str, str]:
     return dict(rows[begin + 1 :])
 
 
-def _path(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs, fs.makeQualified(p)
-
-
-def _qualified(spark: SparkSession, path: str) -> str:
-    return _path(spark, path)[1].toString()
-
-
 class Journal:
     """Small files that tell what runs have begun and committed."""
 
@@ -103,32 +94,19 @@ class Journal:
         self.folder = (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_refresh").rstrip("/")
 
     def write(self, run: str, state: str, steps: Sequence[Step]) -> None:
-        """The file appears under its name when it is whole."""
-        text = json.dumps([dataclasses.asdict(s) for s in steps])
-        fs, part = _path(self.spark, f"{self.folder}/.{run}.{state}")
-        out = fs.create(part, True)
-        out.write(bytearray(text.encode()))
-        out.close()
-        if not fs.rename(part, _path(self.spark, f"{self.folder}/{run}.{state}")[1]):
-            raise LoadError(f"the journal {self.folder}/{run}.{state} cannot be written")
+        write_text(self.spark, self.folder, f"{run}.{state}", json.dumps([dataclasses.asdict(x) for x in steps]))
 
     def drop(self, run: str, state: str) -> None:
         drop_path(self.spark, f"{self.folder}/{run}.{state}")
 
     def runs(self) -> dict[str, tuple[bool, list[Step]]]:
         """Run -> (committed, steps) of the runs that have not ended."""
-        fs, folder = _path(self.spark, self.folder)
         out = {}
-        for status in fs.listStatus(folder) if fs.exists(folder) else ():
-            run, _, state = status.getPath().getName().rpartition(".")
-            if run and not run.startswith(".") and state in ("staging", "ready"):
-                stream = fs.open(status.getPath())
-                try:
-                    text = bytes(stream.readAllBytes()).decode()
-                finally:
-                    stream.close()
+        for name in names(self.spark, self.folder):
+            run, _, state = name.rpartition(".")
+            if run and state in ("staging", "ready"):
                 ready = state == "ready" or out.get(run, (False,))[0]
-                out[run] = (ready, [Step(**s) for s in json.loads(text)])
+                out[run] = (ready, [Step(**x) for x in json.loads(read_text(self.spark, f"{self.folder}/{name}"))])
         return out
 
 
@@ -176,7 +154,7 @@ def _switch(spark: SparkSession, step: Step) -> None:
     exists = spark.catalog.tableExists
     if step.kind == "point":
         if exists(step.table) and exists(step.stage):
-            if _qualified(spark, _details(spark, step.table)["Location"]) != _qualified(spark, step.folder):
+            if qualified(spark, _details(spark, step.table)["Location"]) != qualified(spark, step.folder):
                 spark.sql(f"ALTER TABLE {step.table} SET LOCATION {_quoted(step.folder)}")
             spark.sql(f"DROP TABLE {step.stage}")  # it was created at a location, so its files stay
     elif step.kind in ("rename", "create") and exists(step.stage):
@@ -189,7 +167,7 @@ def _clean(spark: SparkSession, step: Step) -> None:
     """Remove the old rows of a target that has switched."""
     if step.kind not in ("point", "rename") or not spark.catalog.tableExists(step.table):
         return
-    if _qualified(spark, _details(spark, step.table)["Location"]) != _qualified(spark, step.folder):
+    if qualified(spark, _details(spark, step.table)["Location"]) != qualified(spark, step.folder):
         return
     if step.old_name:
         spark.sql(f"DROP TABLE IF EXISTS {step.old_name}")

@@ -60,10 +60,10 @@ HEAD, CLASS_WORDS, TAIL = 1024, 32, 32
 EMBED, HIDDEN = 16, 16
 WINDOW, ROUNDS = 32, 2
 LONG_WINDOW = 512
-TRAIN_ROWS, SCORE_ROWS = 128, 512
+TRAIN_ROWS, SCORE_ROWS = 256, 1024
 RATE = 0.02
-BLOCK_BYTES = 4 << 20
-TASK_TOKENS = 8_000_000
+BLOCK_BYTES = 2 << 20
+TASK_TOKENS = 4_000_000
 #: Tokens of the documents that a training task looks ahead over, and how many of them it starts early.
 SORTED_TOKENS, EARLY = 4_000_000, 32
 AVERAGED = 64
@@ -182,13 +182,19 @@ class Vocabulary:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """In place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
+def _log_softmax_at(x: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """One column of each row's log softmax (``x`` is overwritten)."""
     x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-    return x
+    value = x[np.arange(len(x)), column]
+    np.exp(x, out=x)
+    return value - np.log(x.sum(axis=1))
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -239,7 +245,9 @@ class Network:
             gx, gh = table[x[t]], h @ self.u
             zr = _sigmoid(gx[:, : 2 * HIDDEN] + gh[:, : 2 * HIDDEN])
             z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-            n = np.tanh(gx[:, 2 * HIDDEN :] + r * gh[:, 2 * HIDDEN :])
+            n = r * gh[:, 2 * HIDDEN :]
+            n += gx[:, 2 * HIDDEN :]
+            np.tanh(n, out=n)
             if keep is not None:
                 keep.append((h, z, r, n, gh[:, 2 * HIDDEN :]))
             h = n + z * (h - n)
@@ -250,13 +258,13 @@ class Network:
         """Natural log of the network's part for targets ``y``: the class, and
         the word inside a head class."""
         klass = np.where(y < HEAD, y // CLASS_WORDS, y - HEAD + _HEAD_CLASSES)
-        out = _log_softmax(states @ self.wc + self.bc)[np.arange(len(y)), klass].astype(np.float64)
+        out = _log_softmax_at(states @ self.wc + self.bc, klass).astype(np.float64)
         order = np.argsort(klass, kind="stable")
         bounds = np.searchsorted(klass[order], np.arange(_HEAD_CLASSES + 1))
         for k in range(_HEAD_CLASSES):
             rows = order[bounds[k] : bounds[k + 1]]
             if len(rows):
-                out[rows] += _log_softmax(states[rows] @ self.wv[k] + self.bv[k])[np.arange(len(rows)), y[rows] - k * CLASS_WORDS]
+                out[rows] += _log_softmax_at(states[rows] @ self.wv[k] + self.bv[k], y[rows] - k * CLASS_WORDS)
         return out
 
     def gradient(self, x: np.ndarray, y: np.ndarray, mask: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -285,18 +293,24 @@ class Network:
                 grad.wv[k], grad.bv[k] = s[own].T @ q, q.sum(axis=0)
                 ds[own] += q @ self.wv[k].T
         ds = ds.reshape(steps, rows, HIDDEN)
+        h0, z, r, n, hn = (np.stack(k) for k in zip(*kept))
+        # What the state's gradient is multiplied by, for all steps; only the recurrence is left to the loop.
+        to_n, to_z, to_r = (1 - z) * (1 - n * n), (h0 - n) * z * (1 - z), hn * r * (1 - r)
         dh = np.zeros((rows, HIDDEN), np.float32)
         gates, inner = np.empty((2, steps, rows, 3 * HIDDEN), np.float32)
+        back = np.ascontiguousarray(self.u.T)
         for t in range(steps - 1, -1, -1):
-            h0, z, r, n, hn = kept[t]
-            dh = dh + ds[t]
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (h0 - n) * z * (1 - z)
-            dr = dn * hn * r * (1 - r)
-            gates[t] = np.concatenate((dz, dr, dn), axis=1)
-            inner[t] = np.concatenate((dz, dr, dn * r), axis=1)
-            dh = dh * z + inner[t] @ self.u.T
-        before = np.concatenate([k[0] for k in kept])
+            dh += ds[t]
+            gate, dn = gates[t], gates[t, :, 2 * HIDDEN :]
+            np.multiply(dh, to_n[t], out=dn)
+            np.multiply(dh, to_z[t], out=gate[:, :HIDDEN])
+            np.multiply(dn, to_r[t], out=gate[:, HIDDEN : 2 * HIDDEN])
+            own = inner[t]
+            own[:, : 2 * HIDDEN] = gate[:, : 2 * HIDDEN]
+            np.multiply(dn, r[t], out=own[:, 2 * HIDDEN :])
+            dh *= z[t]
+            dh += own @ back
+        before = h0.reshape(-1, HIDDEN)
         grad.u[:] = before.T @ inner.reshape(-1, 3 * HIDDEN)
         gates = gates.reshape(-1, 3 * HIDDEN)
         grad.b[:] = gates.sum(axis=0)

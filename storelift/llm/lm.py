@@ -11,7 +11,7 @@ Probabilities add up to one over the training vocabulary and "unknown".
 
 Blocks.  Texts are tokenised once, into blocks of about ``BLOCK_BYTES`` of text
 (a longer document is a block of its own) stored in the shared folder: the
-block's distinct word hashes, and each token's place among them.  Counting,
+block's distinct word hashes, and (packed) each token's place among them.  Counting,
 training and scoring read the blocks.
 
 Network.  One gated recurrent layer reads the class (tail) or word (head) of the
@@ -48,6 +48,7 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,7 +105,7 @@ def token_blocks(docs: DataFrame) -> DataFrame:
                 yield pd.DataFrame([{
                     "block": number, "ids": own["doc_id"].tolist(), "held": own["held"].tolist(), "part": own["part"].tolist(),
                     "begins": begins.astype(np.int64).tobytes(), "words": distinct.tobytes(), "tails": tails[where].astype(np.int8).tobytes(),
-                    "places": places.astype(np.uint32).tobytes()}])
+                    "places": _packed(places)}])
                 number += 1
 
     round_of = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(ROUNDS)).cast("int")
@@ -112,12 +113,23 @@ def token_blocks(docs: DataFrame) -> DataFrame:
                        "text").mapInPandas(cut, BLOCK_SCHEMA)
 
 
+def _packed(places: np.ndarray) -> bytes:
+    """Numbers byte plane by byte plane, compressed: the high planes are nearly empty."""
+    planes = np.ascontiguousarray(places.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 class Block:
     """One block's arrays."""
 
     def __init__(self, row):
         self.begins, self.words = np.frombuffer(row["begins"], np.int64), np.frombuffer(row["words"], np.uint64)
-        self.tails, self.places = np.frombuffer(row["tails"], np.int8), np.frombuffer(row["places"], np.uint32)
+        self.tails, self.places = np.frombuffer(row["tails"], np.int8), _unpacked(row["places"])
         self.held, self.part = np.asarray(row["held"], bool), np.asarray(row["part"], np.int64)
 
 

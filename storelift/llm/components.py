@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import stored
@@ -14,7 +16,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round takes the smallest label among the neighbours, then the label
     of the label (pointer jumping), so long chains shrink geometrically.
-    Labels are written after every round.
+    Labels are written after every round; the same pass counts those that
+    changed.
     """
     both = stored(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "cc-edges")
     labels = stored(both.groupBy("a").agg(F.min("b").alias("m"))
@@ -25,8 +28,9 @@ def components(edges: DataFrame) -> DataFrame:
         hooked = (labels.join(near, "id", "left")
                         .select("id", F.col("component").alias("old"), F.least("component", "m").alias("component")))
         jump = labels.select(F.col("id").alias("component"), F.col("component").alias("j"))
-        stepped = stored(hooked.join(jump, "component", "left")
-                               .select("id", "old", F.least("component", "j").alias("component")), "cc-labels")
-        labels = stepped.select("id", "component")
-        if not stepped.where("component <> old").limit(1).count():
+        moved = Observation(f"moved-{uuid.uuid4().hex}")
+        stepped = (hooked.join(jump, "component", "left").select("id", "old", F.least("component", "j").alias("component"))
+                         .observe(moved, F.count_if(F.col("component") != F.col("old")).alias("n")))
+        labels = stored(stepped.select("id", "component"), "cc-labels")
+        if not moved.get["n"]:
             return labels

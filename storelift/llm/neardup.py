@@ -33,8 +33,10 @@ copies costs rows in proportion to its size; no step emits a group's pairs.
 
 Defined cases: null, empty and blank texts have no shingles and are linked
 with nothing (component: their own id, kept).  A text of one to four words is
-one shingle.  Rows with the same doc_id are one node; null doc_ids are kept,
-with no component.  An empty table gives an empty result.  Only doc_id and
+one shingle.  Rows with the same doc_id are one node (its links are those of one
+of its texts).  A row with a null doc_id has its set's size; if its set is that of
+a row with an id, it has that row's component and is not kept, else it has no
+component and is kept.  An empty table gives an empty result.  Only doc_id and
 text are read.
 """
 
@@ -327,12 +329,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                    .select("n", "d1", "d2", F.coalesce("component", "rep").alias("component")))
     found = sketch.select("doc_id", "n", "d1", "d2").join(classes, ["n", "d1", "d2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
-    unnamed = docs.where("doc_id IS NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_shingles"),
-                                                  F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))
+    # Rows without an id have no node of their own: their sets are looked up among the classes.
+    nameless = docs.where("doc_id IS NULL").select(F.lit(0).cast("long").alias("doc_id"), "text").mapInPandas(
+        _sketch, "doc_id long, n long, d1 long, d2 long, signature array<int>").select("n", "d1", "d2")
+    unnamed = nameless.join(classes, ["n", "d1", "d2"], "left").select(
+        F.lit(None).cast("long").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
+        F.col("component").isNull().alias("kept"))
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id")).unionAll(unnamed)
 
 
 def unique_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without those that repeat an earlier document."""
-    gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    """The rows of ``docs`` without those that repeat an earlier document (rows
+    without an id all stay)."""
+    gone = near_duplicates(docs).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

@@ -84,7 +84,10 @@ def test_odd_rows(spark, odd_documents, no_documents):
     got = {r.doc_id: r for r in neardup.near_duplicates(odd_documents).collect()}
     assert [got[d].n_shingles for d in (3, 4, 5, 6, 7)] == [0, 0, 0, 1, 1]
     assert [got[d].component_id for d in (1, 2, 3, 4, 5, 6, 7)] == [1, 1, 3, 4, 5, 6, 6]
-    assert got[None].kept and got[None].component_id is None
+    assert got[None].kept and got[None].component_id is None and got[None].n_shingles == 3
+    copy = odd_documents.where("doc_id = 1").selectExpr("CAST(NULL AS BIGINT) AS doc_id", "text", "lang", "source", "n_chars")
+    named = [r for r in neardup.near_duplicates(odd_documents.unionAll(copy)).collect() if r.doc_id is None]
+    assert sorted((r.component_id, r.kept) for r in named if not r.kept) == [(1, False)] and len(named) == 2
     assert neardup.near_duplicates(no_documents).count() == 0
     from pyspark.sql import functions as F
 

@@ -68,7 +68,39 @@ FROM docs LEFT JOIN p USING (source, lang, topic)
 """
 
 
+# Anchors and all rows, component by component; the integer products are exact in doubles.
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL),
+parts AS (
+  SELECT vec_id, label, i, embedding[i] AS x
+  FROM (SELECT vec_id, label, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM v)),
+sound AS (
+  SELECT vec_id FROM parts GROUP BY vec_id HAVING bool_and(x IS NOT NULL AND isfinite(CAST(x AS DOUBLE)))),
+q AS (
+  SELECT vec_id, label, i, floor(256 * CAST(x AS DOUBLE)) AS z FROM parts WHERE vec_id IN (SELECT vec_id FROM sound)),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label, CAST(sum(a.z * b.z) AS BIGINT) AS score
+  FROM q AS a JOIN q AS b ON a.i = b.i AND a.vec_id <> b.vec_id
+  WHERE a.vec_id % 50 = 0
+  GROUP BY a.vec_id, a.label, b.vec_id, b.label),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+  FROM s WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS place
+  FROM p JOIN s ON p.anchor_id = s.anchor_id
+  WHERE s.label <> s.own AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE place <= 3
+"""
+
 ORACLE_SQL = {
     "op7_line_dedup": LINE_DEDUP,
     "op10_mixing": _mixing_sql(),
+    "op11_hard_negatives": HARD_NEGATIVES,
 }

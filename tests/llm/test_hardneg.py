@@ -40,6 +40,18 @@ def test_whole_table(spark):
     assert got == brute(rows) and len(got) > 400
 
 
+def test_oracle_on_the_table(spark):
+    import duckdb
+
+    sf = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{sf}/embeddings.parquet'")
+    want = con.execute(queries.ORACLE_SQL["op11_hard_negatives"]).fetch_df()
+    got = queries.op11_hard_negatives(spark, sf).toPandas()
+    assert sorted(want.columns) == sorted(got.columns) and len(got) > 50
+    assert sorted(map(tuple, got.values.tolist())) == sorted(map(tuple, want[got.columns].values.tolist()))
+
+
 @pytest.mark.parametrize("dim, blocks", [(3, (50, 4)), (70, (8192, 2048)), (64, (100, 5))])
 def test_clusters_ties_and_blocks(spark, dim, blocks):
     """Near copies across labels, a label with a third of all rows, one vector in many rows."""

@@ -17,8 +17,10 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import logging
 import sys
 
+from .operators.quarantine import set_apart
 from .params import Params
 from .plans.incremental import incremental_campaign_performance
 from .plans.reports import campaign_performance, in_store_activity, prepare
@@ -27,6 +29,8 @@ from .sinks.refresh import Load, refresh_all
 from .sources.schemas import SCHEMAS
 from .sources.tables import Sources
 
+log = logging.getLogger(__name__)
+
 
 def _pairs(items: list[str], flag: str) -> dict[str, str]:
     out = {}
@@ -50,7 +54,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--batch-ts", default=None, help="fixed load time (ISO), default now")
     ap.add_argument("--no-parity", action="store_true", help="count each member's window totals once")
     ap.add_argument("--order-date-format", default=None, help="format of a text date_id, e.g. yyyyMMdd")
-    ap.add_argument("--on-bad-id", choices=("raise", "null"), default=defaults.on_bad_id, help="member ids that are no integer")
+    ap.add_argument("--on-bad-id", choices=("raise", "null", "quarantine"), default=defaults.on_bad_id, help="member ids that are no integer")
+    ap.add_argument("--rejects-table", help="target of the rows set apart by --on-bad-id quarantine")
     ap.add_argument("--coupon-code", default=defaults.coupon_code)
     ap.add_argument("--main-distributor-like", default=defaults.main_distributor_like)
     ap.add_argument("--sibling-distributor", default=defaults.sibling_distributor)
@@ -67,6 +72,8 @@ def main(argv: list[str] | None = None) -> int:
         raise SystemExit(f"no input given for {sorted(missing)}")
     if not (args.main_table or args.sibling_table):
         raise SystemExit("nothing to do: give --main-table and/or --sibling-table")
+    if args.rejects_table and args.on_bad_id != "quarantine":
+        raise SystemExit("--rejects-table needs --on-bad-id quarantine")
 
     spark = get_session()
     if args.checkpoint_dir and not spark.sparkContext.getCheckpointDir():
@@ -87,8 +94,14 @@ def main(argv: list[str] | None = None) -> int:
     )
     targets = [(t, build) for t, build in ((args.main_table, campaign_performance), (args.sibling_table, in_store_activity)) if t]
     try:
-        prepared = prepare(src, params)
         loads = []
+        if args.on_bad_id == "quarantine":
+            apart = set_apart(src)
+            src = apart.src
+            log.warning("rows and rejected rows by input: %s", apart.counts)
+            if args.rejects_table:
+                loads.append(Load(apart.rejects, args.rejects_table, f"{args.location.rstrip('/')}/{args.rejects_table}" if args.location else None))
+        prepared = prepare(src, params)
         for t, build in targets:
             if build is campaign_performance and args.state:
                 report, _ = incremental_campaign_performance(src, args.state, params, prepared)

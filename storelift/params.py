@@ -84,8 +84,8 @@ class Params:
             raise ValueError("windows must be non-negative day counts")
         if self.bucket_days < max(self.windows) or self.bucket_days < 1:
             raise ValueError("bucket_days must be at least the largest window")
-        if self.on_bad_id not in ("raise", "null"):
-            raise ValueError("on_bad_id must be 'raise' or 'null'")
+        if self.on_bad_id not in ("raise", "null", "quarantine"):
+            raise ValueError("on_bad_id must be 'raise', 'null' or 'quarantine'")
         if self.attribution not in ("join", "sweep") or self.distinct not in ("rows", "bitmap"):
             raise ValueError("attribution must be 'join' or 'sweep', distinct 'rows' or 'bitmap'")
 

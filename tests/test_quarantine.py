@@ -1,0 +1,73 @@
+"""Rejected and used rows together are the inputs; reports are those of the clean inputs."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+
+import pytest
+
+from storelift import Params, Sources, campaign_performance, in_store_activity
+from storelift.operators.quarantine import MEMBER_TEXT, set_apart
+from storelift.sources.schemas import SCHEMAS
+from tests.fixtures import V, golden_rows
+
+P = Params(batch_ts=dt.datetime(2024, 2, 1), on_bad_id="quarantine")
+BAD = ["x1", "", "  ", "12a", "99999999999", "1.5e3x"]
+
+
+def spoiled():
+    """The golden rows and, for each bad id, one more row in every input that names members."""
+    rows = {k: list(v) for k, v in golden_rows().items()}
+    day = dt.datetime(2024, 1, 10, 11)
+    for k, bad in enumerate(BAD):
+        rows["campaign_reservation"].append(("C1", "Camp One", "A1", "S1", 101, "E1", bad, V, 1, day))
+        rows["member_detail"].append((bad, day, "S1"))
+        rows["coupon_benefit"].append((bad, day, "S1", "Q240065", "redeemed"))
+        rows["member_order_detail"].append((bad, dt.date(2024, 1, 10), "S1", f"B{k}", True, 1, "LCS", "x", 1, None))
+    return rows
+
+
+def test_rejects_and_used_rows_are_the_inputs(spark):
+    rows = spoiled()
+    split = set_apart(Sources.from_rows(spark, rows))
+    rejects = split.rejects.collect()
+    for role, column in MEMBER_TEXT.items():
+        own = [r for r in rejects if r["input"] == role]
+        used = getattr(split.src, role).count()
+        assert split.counts[role] == (len(rows[role]), len(own)) and used + len(own) == len(rows[role])
+        assert sorted(r.raw_id for r in own) == sorted(BAD)
+        assert all(json.loads(r["row"])[column] == r.raw_id for r in own)
+    assert {r.raw_id: r.reason for r in rejects} == {"x1": "not an integer", "": "empty", "  ": "empty", "12a": "not an integer",
+                                                    "99999999999": "out of range", "1.5e3x": "not an integer"}
+
+
+def test_reports_of_the_clean_rows(spark):
+    split, good = set_apart(Sources.from_rows(spark, spoiled())), Sources.from_rows(spark, golden_rows())
+    for build in (campaign_performance, in_store_activity):
+        assert sorted(map(str, build(split.src, P).collect())) == sorted(map(str, build(good, Params(batch_ts=P.batch_ts)).collect()))
+
+
+def test_good_ids_stay(spark):
+    ids = ["7", "007", " 7", "+7", "-7", "2147483647", "-2147483648", None]
+    src = Sources.from_rows(spark, {"member_detail": [(i, None, None) for i in ids]})
+    assert set_apart(src).counts["member_detail"] == (len(ids), 0)
+
+
+def test_empty_inputs(spark):
+    split = set_apart(Sources.from_rows(spark, {}))
+    assert split.rejects.count() == 0 and set(split.counts.values()) == {(0, 0)}
+
+
+def test_job_loads_rejects_with_the_reports(spark, tmp_path):
+    from storelift import job
+
+    mem, args = Sources.from_rows(spark, spoiled()), []
+    for role in SCHEMAS:
+        getattr(mem, role).write.parquet(str(tmp_path / role))
+        args += ["--path", f"{role}={tmp_path / role}"]
+    args += ["--main-table", "quar_main", "--rejects-table", "quar_rejects", "--location", str(tmp_path / "out"), "--journal", str(tmp_path / "journal")]
+    with pytest.raises(SystemExit):
+        job.main(args)  # rejects are asked for, but bad ids raise
+    assert job.main([*args, "--on-bad-id", "quarantine"]) == 0
+    assert spark.table("quar_main").count() == 2 and spark.table("quar_rejects").count() == 4 * len(BAD)

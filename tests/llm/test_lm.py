@@ -121,3 +121,21 @@ def test_training_learns_every_token_with_the_state_carried(spark, monkeypatch):
     for last, h in zip(states, carried[1:]):
         assert all(not row.any() or (row == last).all(axis=1).any() for row in h)
     assert any(h.any() for h in carried)
+
+
+def test_counts_travel_packed(spark, monkeypatch):
+    """A block's words go as a row a range, not a row a word; counts are whole for any number of ranges and shares."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").repartition(6)
+    blocks, number, words = lm.stored_blocks(docs)
+    assert number >= 6 and words == sum(len(r.words) // 8 for r in blocks.select("words").collect())
+    whole = {(r.word, r.tail, r.c) for r in lm.Counts(blocks, number, words).rows().collect()}
+    assert sum(c for *_, c in whole) == sum(n for _, held, n, *_ in plain([(r.doc_id, r.text) for r in docs.collect()]) if not held)
+    monkeypatch.setattr(lm, "GROUP_WORDS", 5_000)
+    monkeypatch.setattr(lm, "SHARE", 2)
+    counts = lm.Counts(blocks, number, words)
+    assert counts.shares == -(-number // 2) and {(r.word, r.tail, r.c) for r in counts.rows().collect()} == whole
+    total, parts = {w: c for w, _, c in whole}, counts.by_block().orderBy("block", "range").collect()
+    assert number < len(parts) <= number * -(-words // (5_000 * counts.shares))
+    for row in blocks.collect():
+        c = np.concatenate([lm._unpacked(p.c, 8) for p in parts if p.block == row.block])
+        assert c.tolist() == [total.get(w, 0) for w in np.frombuffer(row.words, np.int64).tolist()]

@@ -81,13 +81,20 @@ class State:
     days: dict[dt.date, str]
 
 
-def _row_hash(columns: Iterable[str]) -> Column:
-    return F.xxhash64(*columns).cast("decimal(20,0)")
+def _hash_sum(columns: Iterable[str]) -> Column:
+    """The exact sum of the row hashes.
+
+    Summed as longs, in three pieces of at most 22 bits (enough for 2^41 rows):
+    a decimal sum takes several times as long a row."""
+    h = F.xxhash64(*columns)
+    low = lambda x: x.bitwiseAND(F.lit((1 << 22) - 1))
+    pieces = [F.sum(p).cast("decimal(20,0)") for p in (F.shiftright(h, 44), low(F.shiftright(h, 22)), low(h))]
+    return pieces[0] * F.lit(1 << 44) + pieces[1] * F.lit(1 << 22) + pieces[2]
 
 
 def _fingerprint(df: DataFrame, kind: str, day: Column, columns: list[str]) -> DataFrame:
     """(kind, day, fingerprint) for each day of ``df``; equal for equal bags of rows."""
-    return (df.groupBy(F.coalesce(day, F.lit(NO_DAY)).alias("day")).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_hash(columns)).alias("h"))
+    return (df.groupBy(F.coalesce(day, F.lit(NO_DAY)).alias("day")).agg(F.count(F.lit(1)).alias("n"), _hash_sum(columns).alias("h"))
               .select(F.lit(kind).alias("kind"), "day", F.concat_ws(":", "n", "h").alias("fingerprint")))
 
 
@@ -106,7 +113,7 @@ def member_fingerprints(src: Sources, params: Params) -> DataFrame:
     """(member_key, fingerprint) of the member rows a visit may meet."""
     rows = member_rows(src.member_detail, params)
     return rows.groupBy(F.col("_mbr_key").alias("member_key")).agg(
-        F.concat_ws(":", F.count(F.lit(1)), F.sum(_row_hash(["join_time", "eff_reg_store"]))).alias("fingerprint"))
+        F.concat_ws(":", F.count(F.lit(1)), _hash_sum(["join_time", "eff_reg_store"])).alias("fingerprint"))
 
 
 def lookup_fingerprint(src: Sources) -> str:
@@ -114,7 +121,7 @@ def lookup_fingerprint(src: Sources) -> str:
     parts = []
     for role in ("campaign_code", "phy_store", "app_store"):
         columns = [f.name for f in SCHEMAS[role].fields]
-        row = getattr(src, role).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_hash(columns)).alias("h")).first()
+        row = getattr(src, role).agg(F.count(F.lit(1)).alias("n"), _hash_sum(columns).alias("h")).first()
         parts.append(f"{row['n']}:{row['h']}")
     return " ".join(parts)
 
@@ -195,6 +202,16 @@ def _touched(prepared: Prepared, params: Params, state: State | None, folder: st
     return Touched(tuple(sorted(days)), tuple(sorted(gone)), len(event_days), reasons)
 
 
+def _write_days(rows: DataFrame, path: str) -> None:
+    """Report rows in a folder for each day.
+
+    Rows are brought together by day first: otherwise every task writes a file
+    for every day.  The rebalance splits a day of many rows over several tasks."""
+    # As text: the folders of an early date are read back as they were written.
+    day = F.date_format(F.coalesce("date_id", F.lit(NO_DAY)), "yyyy-MM-dd")
+    rows.withColumn("_day", day).hint("rebalance", "_day").write.partitionBy("_day").parquet(path)
+
+
 def _stored_rows(like: DataFrame, folder: str, days: dict[dt.date, str], part: str) -> DataFrame:
     """The report rows of all days, from the runs that computed them."""
     reader = like.sparkSession.read.schema(T.StructType([*like.schema.fields, T.StructField("_day", T.StringType())]))
@@ -234,8 +251,7 @@ def incremental_campaign_performance(src: Sources, folder: str, params: Params =
     for part, rows in fresh.items():
         if together:
             rows = rows.unionByName(_stored_rows(rows, folder, kept, part))
-        # As text: the folders of an early date are read back as they were written.
-        rows.withColumn("_day", F.date_format(F.coalesce("date_id", F.lit(NO_DAY)), "yyyy-MM-dd")).write.partitionBy("_day").parquet(f"{here}/{part}")
+        _write_days(rows, f"{here}/{part}")
     days = {d: run for d in kept} if together else dict(kept)
     days |= {d: run for d in touched.days}
     write_text(spark, f"{folder}/manifests", str(state.number + 1 if state else 1), json.dumps({

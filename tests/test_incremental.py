@@ -139,3 +139,21 @@ def test_no_visits_at_all(spark, tmp_path):
     rows = two_visits() | {"campaign_reservation": []}
     assert run(spark, rows, str(tmp_path / "state")).days == ()
     assert run(spark, two_visits(), str(tmp_path / "state")).total == 4
+
+
+def test_a_day_is_written_once(spark, tmp_path):
+    """Files by the number of days, not of days times tasks."""
+    rows = spark.range(600).selectExpr("id", "date_add(DATE'2024-01-01', CAST(id % 5 AS INT)) AS date_id").repartition(6)
+    I._write_days(rows, str(tmp_path / "rows"))
+    folders = [d for d in os.listdir(tmp_path / "rows") if d.startswith("_day=")]
+    assert len(folders) == 5
+    assert all(len([f for f in os.listdir(tmp_path / "rows" / d) if f.endswith(".parquet")]) == 1 for d in folders)
+    assert spark.read.parquet(str(tmp_path / "rows")).count() == 600
+
+
+def test_hash_sum_is_exact(spark):
+    """The long pieces give the decimal sum of the signed hashes, as earlier states hold it."""
+    rows = spark.range(5000).selectExpr("id", "id % 3 AS k")
+    plain = rows.selectExpr("k", "CAST(xxhash64(id) AS DECIMAL(20,0)) AS h").groupBy("k").sum("h").collect()
+    assert {r[0]: str(r[1]) for r in plain} == {r[0]: str(r[1]) for r in rows.groupBy("k").agg(I._hash_sum(["id"]).cast("string")).collect()}
+    assert rows.where("false").agg(I._hash_sum(["id"])).first()[0] is None
